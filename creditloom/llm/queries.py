@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from creditloom.llm import near_dup
+from creditloom.llm import ann, exact_topk, language_id, near_dup
 
 LLM_QUERIES = {
     "op2_minhash_dedup": near_dup.op2_minhash_dedup,
+    "op8_exact_topk": exact_topk.op8_exact_topk,
+    "op9_language_id": language_id.op9_language_id,
+    "op10_nearest": ann.op10_nearest,
 }
 LLM_ORACLES = {
     "op2_minhash_dedup": near_dup.OP2_SQL,
+    "op8_exact_topk": exact_topk.OP8_SQL,
 }
