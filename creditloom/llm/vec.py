@@ -71,12 +71,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
-def word_bounds(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and for each document the index of its first word (one more entry at the end)."""
+def word_bounds(buf: np.ndarray, offs: np.ndarray, solid: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and for each document the index of its first word (one more entry at the end).
+
+    ``solid`` tells for each byte whether it belongs to words."""
     n = len(buf)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    solid = NOT_SPACE[buf]
+    solid = solid[buf]
     edge = np.zeros(n + 1, dtype=bool)  # a document begins here
     edge[offs] = True
     before = np.empty(n, dtype=bool)
