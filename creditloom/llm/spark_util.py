@@ -84,8 +84,8 @@ def lookup(rows: DataFrame, key: list[str], values: DataFrame, weight: str, tota
     return hot.unionByName(rest.join(light, key, how))
 
 
-STEPS_A_ROUND = 3
-ROUNDS = 5
+STEPS_A_ROUND = 4
+ROUNDS = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
