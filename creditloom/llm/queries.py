@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ann, exact_topk, language_id, near_dup
+from creditloom.llm import ann, exact_topk, language_id, near_dup, toxicity
 
 LLM_QUERIES = {
     "op2_minhash_dedup": near_dup.op2_minhash_dedup,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op8_exact_topk": exact_topk.op8_exact_topk,
     "op9_language_id": language_id.op9_language_id,
     "op10_nearest": ann.op10_nearest,
