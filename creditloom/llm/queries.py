@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ann, exact_topk, language_id, near_dup, toxicity
+from creditloom.llm import ann, exact_topk, language_id, near_dup, pii, toxicity
 
 LLM_QUERIES = {
     "op2_minhash_dedup": near_dup.op2_minhash_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_pii": pii.op5_pii,
     "op8_exact_topk": exact_topk.op8_exact_topk,
     "op9_language_id": language_id.op9_language_id,
     "op10_nearest": ann.op10_nearest,
 }
 LLM_ORACLES = {
     "op2_minhash_dedup": near_dup.OP2_SQL,
+    "op5_pii": pii.OP5_SQL,
     "op8_exact_topk": exact_topk.OP8_SQL,
 }
