@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ann, exact_topk, language_id, near_dup, pii, toxicity
+from creditloom.llm import ann, exact_topk, language_id, mixing, near_dup, pii, toxicity
 
 LLM_QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
     "op2_minhash_dedup": near_dup.op2_minhash_dedup,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
