@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ann, exact_topk, language_id, line_dedup, mixing, near_dup, pii, toxicity
+from creditloom.llm import ann, exact_topk, language_id, line_dedup, mixing, near_dup, pieces, pii, toxicity
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_minhash_dedup": near_dup.op2_minhash_dedup,
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
     "op7_line_dedup": line_dedup.op7_line_dedup,
