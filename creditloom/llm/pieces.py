@@ -33,7 +33,7 @@ from creditloom.llm.spark_util import arrow_map, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 LONGEST = 48
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 3 << 19
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -54,6 +55,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect what is no longer referenced: Spark then deletes its shuffle files on the executors.
+
+    Files are deleted when the driver's heap happens to be collected, which a driver with little to do puts off
+    while large shuffles, long read, fill the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(id_text: str | Column, parts: int) -> Column:
     """crc32 of the id written as text, modulo ``parts``."""
     col = F.col(id_text) if isinstance(id_text, str) else id_text

@@ -28,7 +28,7 @@ _pow = [np.ones(1, dtype=U64), np.ones(1, dtype=U64)]
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i in 0..n."""
     if len(_pow[0]) <= n:
-        size = max(n + 1, SLICE_BYTES + 1, 2 * len(_pow[0]) if n < 1 << 24 else 0)
+        size = (n // SLICE_BYTES + 1) * SLICE_BYTES + 1
         for k, step in enumerate((_BASE, _INV)):
             seq = np.full(size, step, dtype=U64)
             seq[0] = 1
