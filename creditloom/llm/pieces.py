@@ -33,7 +33,8 @@ from creditloom.llm.spark_util import arrow_map, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 LONGEST = 48
-BATCH_BYTES = 3 << 19
+BATCH_BYTES = 1 << 21
+CACHED = 400_000
 
 
 @dataclass
@@ -280,6 +281,67 @@ def _fallback(model: PieceModel, char: str) -> np.ndarray:
     return model.byte_ids[np.frombuffer(char.encode("utf-8", "replace"), np.uint8)] if model.byte_ids[0] >= 0 else np.array([model.unknown])
 
 
+def _ragged(heads: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of all members of runs, one run after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(heads - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _encode_words(model: PieceModel, codes: np.ndarray, run: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words at ``first``, one word after the other, and how many each has."""
+    t = model.tables()
+    blank = codes == BLANK
+    slow = blank[first] & (size > 1) & blank[np.minimum(first + 1, len(codes) - 1)] | (size > LONGEST)
+    ids_of: list[np.ndarray] = [np.zeros(0, np.int64)]
+    owner: list[np.ndarray] = [np.zeros(0, np.int64)]
+    for length in np.unique(size[~slow]):
+        at = np.flatnonzero((size == length) & ~slow)
+        if length == 1:
+            flat, count = t["single"][codes[first[at]]], np.ones(len(at), np.int64)
+        else:
+            flat, count = viterbi(model, codes, run, first[at], int(length))
+        outer = np.where(flat >= 0, model.outer[flat], -1)
+        mine = np.repeat(at, count)
+        if (outer < 0).any():  # characters without a piece, each of which is a word or part of one
+            width = np.where(flat >= 0, model.size[flat], 1)
+            offset = np.cumsum(width) - width
+            word_at = np.repeat(np.cumsum(count) - count, count)
+            parts = [np.array([o]) if o >= 0 else _fallback(model, chr(codes[first[m] + offset[k] - offset[word_at[k]]])) for k, (o, m) in enumerate(zip(outer, mine, strict=True))]
+            mine = np.repeat(mine, [len(p) for p in parts])
+            outer = np.concatenate(parts)
+        ids_of.append(outer)
+        owner.append(mine)
+    for u in np.flatnonzero(slow):
+        ids = _slow(model, "".join(map(chr, codes[first[u] : first[u] + size[u]])))
+        ids_of.append(ids)
+        owner.append(np.full(len(ids), u))
+    ids, owner = np.concatenate(ids_of), np.concatenate(owner)
+    return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(first))
+
+
+def _cached_words(model: PieceModel, codes: np.ndarray, run: np.ndarray, unique: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`_encode_words`, with the process's first CACHED words kept for the next runs; ``unique`` are their hashes."""
+    t = model.tables()
+    cache = t.setdefault("cache", {"index": vec.HashIndex(np.zeros(0, vec.U64)), "keys": np.zeros(0, vec.U64), "counts": np.zeros(0, np.int64), "heads": np.zeros(0, np.int64), "ids": np.zeros(0, np.int32)})
+    hit = cache["index"].find(unique)
+    miss = np.flatnonzero(hit < 0)
+    new_ids, new_counts = _encode_words(model, codes, run, first[miss], size[miss])
+    counts = np.zeros(len(unique), np.int64)
+    known = np.flatnonzero(hit >= 0)
+    counts[known] = cache["counts"][hit[known]]
+    counts[miss] = new_counts
+    heads = np.cumsum(counts) - counts
+    ids = np.empty(counts.sum(), np.int64)
+    ids[_ragged(heads[known], counts[known])] = cache["ids"][_ragged(cache["heads"][hit[known]], counts[known])]
+    ids[_ragged(heads[miss], new_counts)] = new_ids
+    if len(miss) and len(cache["keys"]) < CACHED:
+        keys = np.concatenate([cache["keys"], unique[miss]])
+        all_counts = np.concatenate([cache["counts"], new_counts])
+        cache |= {"index": vec.HashIndex(keys), "keys": keys, "counts": all_counts, "heads": np.cumsum(all_counts) - all_counts, "ids": np.concatenate([cache["ids"], new_ids.astype(np.int32)])}
+        t["cache"] = cache
+    return ids, counts
+
+
 def encode_column(model: PieceModel, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For runs of rows: first row, end row, ids, and where each row's ids begin."""
     t = model.tables()
@@ -303,38 +365,11 @@ def encode_column(model: PieceModel, column: pa.Array) -> Iterator[tuple[int, in
         run = _running(codes)
         unique, where, which = np.unique(_hashes(codes, starts, ends, run), return_index=True, return_inverse=True)
         first, size = starts[where], (ends - starts)[where]
-        several = blank[first] & (size > 1) & blank[np.minimum(first + 1, n - 1)]
-        slow = several | (size > LONGEST)
-        ids_of: list[np.ndarray] = []
-        owner: list[np.ndarray] = []
-        counts = np.zeros(len(unique), np.int64)
-        for length in np.unique(size[~slow]):
-            at = np.flatnonzero((size == length) & ~slow)
-            if length == 1:
-                flat, count = t["single"][codes[first[at]]], np.ones(len(at), np.int64)
-            else:
-                flat, count = viterbi(model, codes, run, first[at], int(length))
-            outer = np.where(flat >= 0, model.outer[flat], -1)
-            mine = np.repeat(at, count)
-            if (outer < 0).any():  # characters without a piece, each of which is a word or part of one
-                offset = np.cumsum(np.where(flat >= 0, model.size[flat], 1)) - np.where(flat >= 0, model.size[flat], 1)
-                word_at = np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-                parts = [np.array([o]) if o >= 0 else _fallback(model, chr(codes[first[m] + offset[k] - offset[word_at[k]]])) for k, (o, m) in enumerate(zip(outer, mine, strict=True))]
-                mine = np.repeat(mine, [len(p) for p in parts])
-                outer = np.concatenate(parts)
-            ids_of.append(outer)
-            owner.append(mine)
-        for u in np.flatnonzero(slow):
-            ids = _slow(model, "".join(map(chr, codes[first[u] : first[u] + size[u]])))
-            ids_of.append(ids)
-            owner.append(np.full(len(ids), u))
-        ids, owner = np.concatenate(ids_of), np.concatenate(owner)
-        ids = ids[np.argsort(owner, kind="stable")]
-        counts = np.bincount(owner, minlength=len(unique))
+        ids, counts = _cached_words(model, codes, run, unique, first, size)
         head = np.concatenate([[0], np.cumsum(counts)])
         per_word = counts[which]
         word_head = np.concatenate([[0], np.cumsum(per_word)])
-        gather = np.repeat(head[which] - word_head[:-1], per_word) + np.arange(word_head[-1])
+        gather = _ragged(head[which], per_word)
         yield i, j, ids[gather], word_head[np.searchsorted(starts, begin)]
 
 

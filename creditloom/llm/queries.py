@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from creditloom.llm import ann, exact_topk, language_id, line_dedup, mixing, near_dup, pieces, pii, toxicity
+import corpus_pipeline
+from creditloom.llm import ann, exact_topk, language_id, line_dedup, lm_score, mixing, near_dup, pieces, pii, toxicity
 
 LLM_QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,10 +11,12 @@ LLM_QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
+    "op6_lm_score": lm_score.op6_lm_score,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_exact_topk": exact_topk.op8_exact_topk,
     "op9_language_id": language_id.op9_language_id,
     "op10_nearest": ann.op10_nearest,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLES = {
     "op2_minhash_dedup": near_dup.OP2_SQL,
