@@ -1,3 +1,6 @@
 from creditloom.plans.registry import ORACLES, QUERIES, query
 
+# importing a module of queries registers them
+from creditloom.plans import panel_queries  # noqa: E402, F401, I001
+
 __all__ = ["ORACLES", "QUERIES", "query"]
