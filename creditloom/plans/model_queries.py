@@ -137,3 +137,57 @@ def availability_matrix(spark, d):
     matrix = rules.Availability({"o_orderkey": {"timing": "key", "use": False}, "o_*date": {"timing": "post_decision", "use": False}, "o_*": {"timing": "application", "use": True}}, {"timing": "unknown", "use": False})
     columns = spark.read.parquet(f"{d}/orders.parquet").columns
     return spark.createDataFrame([(r["column"], r["timing"], r["use"]) for r in map(matrix.resolve, columns)], "column string, timing string, use boolean")
+
+
+def warning_rows(spark, d):
+    return scored(spark, d).withColumn("w", F.when(F.col("y") == 1, 1.0).otherwise(2.0))
+
+
+def baseline(spark, d):
+    from creditloom.operators import early_warning
+
+    train = warning_rows(spark, d).where("split = 'train'")
+    encoder = early_warning.fit_encoder(train, "w", ["risk_a", "amount"], ["segment", "priority"], 0.05)
+    return early_warning.fit_baseline(train, "y", "w", encoder)
+
+
+@query("warning_baseline")
+def warning_baseline(spark, d):
+    """Scores and reasons of the weighted baseline on the test rows."""
+    out = baseline(spark, d).score(warning_rows(spark, d).where("split = 'test'"))
+    return out.select("id", "period", "y", F.round("pd", 9).alias("pd"), F.get("reasons", F.lit(0)).alias("reason_1"))
+
+
+@query("warning_evaluation")
+def warning_evaluation(spark, d):
+    from creditloom.operators import early_warning
+
+    out = baseline(spark, d).score(warning_rows(spark, d))
+    return early_warning.evaluate(out.withColumn("pd", F.round("pd", 9)), "pd", "y", ["auc", "average_precision", "lift_top_5pct", "capture_top_10pct"], "period", "id", ["split"])
+
+
+@query("warning_watchlist")
+def warning_watchlist(spark, d):
+    from creditloom.operators import early_warning
+
+    out = baseline(spark, d).score(warning_rows(spark, d).where("split = 'test'"))
+    return early_warning.watchlist(out.withColumn("pd", F.round("pd", 9)), "pd", 0.05, "period", "id")
+
+
+@query("warning_importance")
+def warning_importance(spark, d):
+    from creditloom.operators import early_warning
+
+    base = baseline(spark, d)
+    return early_warning.importance(base.score(warning_rows(spark, d).where("split = 'test'")), base.encoder.features)
+
+
+@query("rescored_differences", f"""WITH {SCORED}, a AS (SELECT id, risk_a AS score, round(pd_a, 6) AS pd FROM scored), b AS (SELECT id, risk_a + (id % 997 = 0)::INTEGER AS score, round(pd_a, 6) + CASE WHEN id % 1009 = 0 THEN 0.01 ELSE 0 END AS pd FROM scored)
+  SELECT id, 'score' AS "column" FROM a JOIN b USING (id) WHERE a.score <> b.score UNION ALL SELECT id, 'pd' FROM a JOIN b USING (id) WHERE abs(a.pd - b.pd) > 1e-6""")
+def rescored_differences(spark, d):
+    """Published scores against a rescoring that was changed on purpose."""
+    from creditloom.operators import early_warning
+
+    rows = scored(spark, d).select("id", F.col("risk_a").alias("score"), F.round("pd_a", 6).alias("pd"))
+    other = rows.withColumn("score", F.col("score") + (F.col("id") % 997 == 0).cast("int")).withColumn("pd", F.col("pd") + F.when(F.col("id") % 1009 == 0, 0.01).otherwise(0.0))
+    return early_warning.compare_implementations(rows, other, "id", ["score"], {"pd": 1e-6})
