@@ -33,8 +33,8 @@ from creditloom.llm.spark_util import arrow_map, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 LONGEST = 48
-BATCH_BYTES = 1 << 21
-CACHED = 400_000
+BATCH_BYTES = 1 << 20
+CACHED = 200_000
 
 
 @dataclass

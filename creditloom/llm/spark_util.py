@@ -94,8 +94,20 @@ def lookup(rows: DataFrame, key: list[str], values: DataFrame, weight: str, tota
     return hot.unionByName(rest.join(light, key, how))
 
 
+BUCKETS = 1 << 18
+
+
+def narrowed(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among the keys of ``wanted``, before a shuffle join.
+
+    The keys' hash buckets, BUCKETS at most whatever the number of keys, are broadcast."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    return rows.withColumn("_bucket", bucket).join(F.broadcast(wanted.select(bucket.alias("_bucket")).distinct()), "_bucket", "left_semi").drop("_bucket")
+
+
 STEPS_A_ROUND = 4
 ROUNDS = 4
+EDGES_A_TASK = 20_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -107,7 +119,12 @@ def components(edges: DataFrame) -> DataFrame:
     are contracted to the graph of their labels, which is many times smaller, and this is solved in the same way.
     """
     ways = edges.select(F.explode(F.array(*(F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in ("ab", "ba", "aa", "bb")))).alias("e")).select("e.*")
-    ways = cut(ways.distinct().repartition("other"))
+    ways = cut(ways.distinct())
+    n = ways.count()
+    if not n:
+        return ways.select("node", F.col("other").alias("component"))
+    parts = max(1, min(partitions(edges), -(-n // EDGES_A_TASK)))  # a few links need not be dealt to many tasks
+    ways = cut(ways.repartition(parts, "other"))
     labels = cut(ways.groupBy(F.col("other").alias("node")).agg(F.min("node").alias("component")))
     before = None
     for _ in range(ROUNDS):
@@ -116,7 +133,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
         before = now
         for _ in range(STEPS_A_ROUND):
-            labels = ways.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("component"))
+            labels = ways.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component").repartition(parts, "node").groupBy("node").agg(F.min("component").alias("component"))
         labels = cut(labels)
     ends = edges.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
     ends = cut(ends.where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
