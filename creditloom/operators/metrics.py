@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import left_closed_bin, ratio
+from creditloom.session import ship
 
 
 def score_counts(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -213,6 +214,7 @@ def auc_ks_from_counts(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]
 def bootstrap_intervals(rows: DataFrame, score: str, y: str, by: Sequence[str], resamples: int = 200, level: float = 0.95, seed: int = 7) -> DataFrame:
     """Percentile intervals of AUC and KS, stratified by class: counts per distinct score are drawn again, which has
     the same law as drawing rows, so what a group's task holds is its distinct scores."""
+    ship(rows.sparkSession)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in by)
     counts = score_counts(rows, score, y, by)
     names = list(by)
