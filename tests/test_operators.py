@@ -189,3 +189,35 @@ def test_availability_and_manifest():
     assert rules.fingerprint({"a": 0.1 + 0.2}) == rules.fingerprint({"a": 0.3})
     assert rules.latest_ok([{"run_id": "1", "steps": {"s": "ok"}}, {"run_id": "2", "steps": {"s": "failed"}}], "s") == "1"
     assert rules.check_definitions({}) and rules.worst(["pass", "note"]) == "note"
+
+
+def test_package_round_trip(spark, tmp_path):
+    from creditloom.operators import package
+    from creditloom.sources import sinks
+
+    rows = spark.createDataFrame([(float(i % 50), "ab"[i % 2], int((i * 7) % 50 < i % 50 - 10)) for i in range(500)], "x double, c string, y int")
+    fits = binning.fit_binnings(rows, ["x"], ["c"], "y", binning.BinningSpec(initial_bins=5, max_bins=4))
+    x, good, bad = scorecard.patterns(rows, fits, "y")
+    card = scorecard.Scorecard(scorecard.fit_sign_stable(list(fits), x, good, bad, resamples=5, least=0.51), fits)
+    frozen = package.freeze(card, scorecard.Calibrator("platt", 0.1, 0.9))
+    again = package.rescore(frozen, rows, 2)
+    assert again.select("score").exceptAll(card.score(rows).select("score")).count() == 0
+    assert len(package.anchors(*package.load(frozen))) == 7
+    with pytest.raises(ValueError):
+        package.load({**frozen, "base_points": frozen["base_points"] + 1})
+    sinks.write_outputs({"t": again.groupBy("score").count()}, {"n": 1}, str(tmp_path / "out"))
+    tables, metrics_back = sinks.read_outputs(spark, str(tmp_path / "out"), "t")
+    assert tables["t"].agg(F.sum("count")).first()[0] == 500 and metrics_back == {"n": 1}
+
+
+def test_stream_book(spark, tmp_path, data):
+    from creditloom.streaming.book import stream_book, write_book
+
+    events = spark.read.parquet(f"{data}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    q = write_book(stream_book(stream, "ts", F.when(F.col("event_type") == "error", 3).otherwise(0), [0, 3]), str(tmp_path / "out"), str(tmp_path / "cp"))
+    q.awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = events.groupBy(F.date_trunc("day", "ts").alias("period")).agg(F.count("*").alias("rows"))
+    assert got.count() > 0 and got.join(want, ["period", "rows"]).count() == got.count()
