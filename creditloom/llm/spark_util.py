@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import gc
-import os
 import tempfile
-import zipfile
 import zlib
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.session import ship as send
+
 HEAVY_PARTS = 1000
 
 
@@ -27,20 +26,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
-_shipped: set[str] = set()
+BATCH_ROWS = "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the sources of this package to the executors, once an application."""
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        top = Path(__file__).resolve().parent.parent
-        archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{top.name}.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(top.rglob("*.py")):
-                out.write(file, file.relative_to(top.parent))
-        sc.addPyFile(archive)
-        _shipped.add(sc.applicationId)
+    """Send this package to the executors, and keep Arrow batches of texts small.
+
+    A batch of the default 10,000 rows of text takes tens of megabytes several times over, in Spark and in the Python
+    worker, which keeps them for as long as it lives. A session's own setting is left as it is."""
+    send(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
