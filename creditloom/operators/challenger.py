@@ -43,3 +43,42 @@ def fit_challenger(rows: DataFrame, numeric: Sequence[str], categorical: Sequenc
             weights = model.stages[-1].featureImportances.toArray()
             best = Challenger(model, f"depth={depth},rounds={rounds}", ap, sorted(zip(names, map(float, weights), strict=True), key=lambda x: (-x[1], x[0])))
     return best
+
+
+def _add_at(values, at: int, step: float):
+    return F.transform(values, lambda v, i: v + F.when(i == at, step).otherwise(0.0))
+
+
+def contributions(found: Challenger, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each feature's share of the log-odds, along the paths of all trees: a split gives its feature the change of the
+    node's value. With ``bias`` they add up to the model's margin. All of it is expressions of the columns."""
+    model = found.model.stages[-1]
+    x = vector_to_array("_x")
+    width = len(names)
+
+    def walk(node, weight: float):
+        """Column of an array of contributions from a node on."""
+        if node.numDescendants() == 0:
+            return F.array(*(F.lit(0.0) for _ in range(width)))
+        split, at = node.split(), node.split().featureIndex()
+        value = x[at]
+        if hasattr(split, "threshold") and "Continuous" in split.getClass().getSimpleName():
+            left = value <= float(split.threshold())
+        else:
+            left = value.isin([float(v) for v in split.leftCategories()])
+        sides = []
+        for child in (node.leftChild(), node.rightChild()):
+            step = weight * (child.prediction() - node.prediction())
+            below = walk(child, weight)
+            sides.append(_add_at(below, at, step))
+        return F.when(left, sides[0]).otherwise(sides[1])
+
+    made = found.model.transform(rows)
+    total, bias = None, 0.0
+    for tree, weight in zip(model.trees, model.treeWeights, strict=True):
+        root = tree._java_obj.rootNode()
+        part = walk(root, float(weight))
+        bias += float(weight) * root.prediction()
+        total = part if total is None else F.zip_with(total, part, lambda a, b: a + b)
+    made = made.withColumn("_c", total)
+    return made.select(*rows.columns, F.lit(2 * bias).alias("bias"), *((2 * F.col("_c")[i]).alias(f"contribution_{n}") for i, n in enumerate(names)), (2 * vector_to_array("rawPrediction")[1]).alias("margin"))

@@ -69,3 +69,20 @@ def since_last(panel: DataFrame, key: str, event: Column, index: Column) -> Colu
     """Periods since the event last happened, up to now; null where it never has."""
     frame = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     return index - F.max(F.when(event, index)).over(frame)
+
+
+def label_by_join(panel: DataFrame, key: str, state: str, horizon: int, after: Callable[[Column, int], Column]) -> DataFrame:
+    """The labels of :func:`label_windows` by one self-join on the month ahead: the second implementation.
+
+    Each row asks for its next ``horizon`` months; what is found is folded in order, the first informative one decides."""
+    ask = panel.select(key, "period", state, F.explode(F.array(*(F.lit(k) for k in range(1, horizon + 1)))).alias("k"))
+    month = panel.select(key, F.col("period").alias("_ahead"), F.col(state).alias("_state"))
+    target = F.coalesce(*(F.when(F.col("k") == k, after(F.col("period"), k)) for k in range(1, horizon + 1)))
+    seen = ask.withColumn("_ahead", target).join(month, [key, "_ahead"], "left")
+    decided = seen.where(F.col("_state").isNull() | (F.col("_state") != "N"))
+    first = decided.groupBy(key, "period").agg(F.min(F.struct("k", "_state")).alias("m"))
+    exits = panel.where(F.col(state) == "P").groupBy(key).agg(F.min("period").alias("_exit"))
+    out = panel.select(key, "period", state).join(first, [key, "period"], "left").join(exits, key, "left")
+    blocked = F.coalesce(F.col("period") >= F.col("_exit"), F.lit(False)) | F.col(state).isin("B", "X")
+    y = F.when(F.col("m").isNull(), 0).when(F.col("m._state") == "B", 1).when(F.col("m._state") == "P", 0)
+    return out.select(key, "period", F.when(~blocked, y).alias("y"))

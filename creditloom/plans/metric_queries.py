@@ -321,3 +321,12 @@ def recalibration(spark, d):
     rows = scored(spark, d).where("split = 'test'").withColumn("lo", F.ln(F.col("pd_a") / (1 - F.col("pd_a"))))
     out = metrics.recalibrate(rows, "lo", "y")
     return spark.createDataFrame([tuple(float(round(v, 9)) for v in out.values())], ", ".join(f"{k} double" for k in out))
+
+
+@query("watchlist_filter", f"WITH {SCORED}, r AS (SELECT id, priority, {_REASONS} AS t FROM scored) SELECT id FROM r WHERE priority IN (SELECT DISTINCT priority FROM scored ORDER BY 1 LIMIT 2) AND (t[1].n = 'tenure' OR t[2].n = 'tenure')")
+def watchlist_filter(spark, d):
+    """Rows of chosen groups, any of whose reasons is a chosen one."""
+    rows = with_reasons(scored(spark, d))
+    groups = [r.priority for r in rows.select("priority").distinct().orderBy("priority").limit(2).collect()]
+    names = F.transform(F.array_compact(F.array("reason_1", "reason_2")), lambda r: F.split(r, "=")[0])
+    return rows.where(F.col("priority").isin(groups) & F.arrays_overlap(names, F.array(F.lit("tenure")))).select("id")

@@ -191,3 +191,15 @@ def rescored_differences(spark, d):
     rows = scored(spark, d).select("id", F.col("risk_a").alias("score"), F.round("pd_a", 6).alias("pd"))
     other = rows.withColumn("score", F.col("score") + (F.col("id") % 997 == 0).cast("int")).withColumn("pd", F.col("pd") + F.when(F.col("id") % 1009 == 0, 0.01).otherwise(0.0))
     return early_warning.compare_implementations(rows, other, "id", ["score"], {"pd": 1e-6})
+
+
+@query("gbt_contributions")
+def gbt_contributions(spark, d):
+    """Additive contributions of the boosted trees on the test rows, and how far they are from the margin (nothing)."""
+    from creditloom.operators.challenger import contributions, fit_challenger
+
+    model = fit_challenger(scored(spark, d), NUMERIC, CATEGORICAL, "y", grid=((2, 5),))
+    names = [*NUMERIC, *CATEGORICAL]
+    out = contributions(model, scored(spark, d).where("split = 'test'"), names)
+    gap = F.abs(F.col("margin") - F.col("bias") - sum((F.col(f"contribution_{n}") for n in names), F.lit(0.0)))
+    return out.select("id", *(F.round(f"contribution_{n}", 9).alias(n) for n in names), F.round(gap, 6).alias("gap"))

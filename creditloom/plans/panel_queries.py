@@ -275,3 +275,45 @@ def survival_tables(spark, d):
 def survival_checkpoints(spark, d):
     wide = survival_tables(spark, d).groupBy("vintage").pivot("mob", [12, 24, 36]).agg(F.max("cif_default"))
     return wide.select("vintage", *(F.col(str(m)).alias(f"cif_{m}") for m in (12, 24, 36)))
+
+
+@query("label_reconciliation", f"""WITH {LABELLED} SELECT coalesce(y::VARCHAR, 'open') AS y, count(*)::BIGINT AS by_window, count(*)::BIGINT AS by_join, count(*)::BIGINT AS equal FROM labelled GROUP BY 1""")
+def label_reconciliation(spark, d):
+    """Labels by window and by self-join, row by row: they must agree everywhere."""
+    p = customer_months(spark, d).select("o_custkey", "period", "letter")
+    a = labels.label_windows(p, "o_custkey", "letter", 3, F.add_months).select("o_custkey", "period", F.col("y").alias("a"))
+    b = labels.label_by_join(p, "o_custkey", "letter", 3, F.add_months).withColumnRenamed("y", "b")
+    both = a.join(b, ["o_custkey", "period"])
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("open"))
+    return both.groupBy(name("a").alias("y")).agg(F.count("*").alias("by_window"), count_if(name("b") == name("a")).alias("by_join"), count_if(F.col("a").eqNullSafe(F.col("b"))).alias("equal"))
+
+
+@query("segment_alerts", f"""WITH {BANDED}, m AS (SELECT max(period) AS last FROM cm), t AS (SELECT dimension, grp, sum(loans) FILTER (period = last)::BIGINT AS loans, sum(bad) FILTER (period = last) / nullif(sum(loans) FILTER (period = last), 0) AS rate,
+    sum(bad) FILTER (period < last AND period >= (last - INTERVAL 12 MONTH)::DATE) / nullif(sum(loans) FILTER (period < last AND period >= (last - INTERVAL 12 MONTH)::DATE), 0) AS baseline FROM seg, m GROUP BY dimension, grp),
+  a AS (SELECT *, rate / nullif(baseline, 0) - 1 AS change FROM t WHERE loans >= 2)
+  SELECT dimension, grp, loans, round(rate, {R}) AS rate, round(baseline, {R}) AS baseline, CASE WHEN change IS NULL THEN NULL WHEN change > 0.25 THEN 'red' WHEN change > 0.1 THEN 'amber' ELSE 'green' END AS light FROM a""")
+def segment_alerts(spark, d):
+    """The last month of each group of two loans or more against the pooled twelve months before."""
+    from creditloom.functions.exprs import light
+
+    s = segments(spark, d)
+    last = s.agg(F.max("period").alias("last"))
+    s = s.crossJoin(F.broadcast(last))  # one row
+    now = F.col("period") == F.col("last")
+    before = (F.col("period") < F.col("last")) & (F.col("period") >= F.add_months("last", -12))
+    part = lambda c, w: F.sum(F.when(w, F.col(c)))
+    t = s.groupBy("dimension", "grp").agg(part("loans", now).alias("loans"), ratio(part("bad", now), part("loans", now)).alias("rate"), ratio(part("bad", before), part("loans", before)).alias("baseline"))
+    change = ratio("rate", "baseline") - 1
+    return t.where("loans >= 2").select("dimension", "grp", "loans", *_r("rate", "baseline"), light(change, 0.1, 0.25, inclusive=False).alias("light"))
+
+
+@query("vintage_alerts", f"""WITH {CURVES}, a AS (SELECT vintage, rate_count AS rate FROM curves WHERE mob = 12), b AS (SELECT avg(rate) AS benchmark FROM a WHERE vintage <= 1996)
+  SELECT vintage, rate, round(benchmark, {R}) AS benchmark, CASE WHEN rate / nullif(benchmark, 0) - 1 > 0.25 THEN 'red' WHEN rate / nullif(benchmark, 0) - 1 > 0.1 THEN 'amber' WHEN benchmark = 0 THEN NULL ELSE 'green' END AS light FROM a, b WHERE vintage > 1996""")
+def vintage_alerts(spark, d):
+    """New vintages at month 12 against the mean of the benchmark ones."""
+    from creditloom.functions.exprs import light
+
+    at = curves(spark, d).where("mob = 12").select("vintage", F.round("rate_count", R).alias("rate"))
+    mark = at.where("vintage <= 1996").agg(F.avg("rate").alias("benchmark"))
+    both = at.where("vintage > 1996").crossJoin(F.broadcast(mark))  # one row
+    return both.select("vintage", "rate", *_r("benchmark"), light(ratio("rate", "benchmark") - 1, 0.1, 0.25, inclusive=False).alias("light"))
