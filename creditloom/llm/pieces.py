@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
 LONGEST = 48
 BATCH_BYTES = 1 << 20
-CACHED = 200_000
+CACHED = 300_000
 
 
 @dataclass
