@@ -16,12 +16,13 @@ def label_windows(panel: DataFrame, key: str, state: str, horizon: int, after: C
     open; active months throughout give 0. Rows at or after an exit, at a bad month, of unknown state and, if asked for,
     after a bad month are excluded with a reason. (key, period) must be unique."""
     along = Window.partitionBy(key).orderBy("period")
-    whole = Window.partitionBy(key)
-    first_bad = F.min(F.when(F.col(state) == bad, F.col("period"))).over(whole)
-    led = panel.withColumn("ever_bad_before", F.coalesce(F.col("period") > first_bad, F.lit(False)))
+    # the same order with a full frame: all of it is one window over one sort
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = lambda s: F.min(F.when(F.col(state) == s, F.col("period"))).over(whole)
     steps = range(1, horizon + 1)
-    for j in steps:
-        led = led.withColumn(f"_p{j}", F.lead("period", j).over(along)).withColumn(f"_s{j}", F.lead(state, j).over(along))
+    ahead_of = [c for j in steps for c in (F.lead("period", j).over(along).alias(f"_p{j}"), F.lead(state, j).over(along).alias(f"_s{j}"))]
+    led = panel.select("*", first(bad).alias("_bad"), first(paid).alias("_exit"), *ahead_of)
+    led = led.withColumn("ever_bad_before", F.coalesce(F.col("period") > F.col("_bad"), F.lit(False)))
     ahead = []
     for k in steps:
         target = after(F.col("period"), k)
@@ -34,14 +35,13 @@ def label_windows(panel: DataFrame, key: str, state: str, horizon: int, after: C
         m = ahead[k - 1]
         y = F.when(m == bad, 1).when(m == paid, 0).when(m == active, y)
         offset = F.when(m == bad, k).when(m == active, offset)
-    first_exit = F.min(F.when(F.col(state) == paid, F.col("period"))).over(whole)
     status = F.col(state)
-    blocked = F.when(F.coalesce(F.col("period") >= first_exit, F.lit(False)), "inactive_at_t").when(status == bad, "already_bad_at_t").when(status == unknown, "status_not_available_at_t")
+    blocked = F.when(F.coalesce(F.col("period") >= F.col("_exit"), F.lit(False)), "inactive_at_t").when(status == bad, "already_bad_at_t").when(status == unknown, "status_not_available_at_t")
     if exclude_prior_bad:
         blocked = blocked.when(F.col("ever_bad_before"), "prior_bad_excluded")
     out = led.withColumn("y", F.when(blocked.isNull(), y).cast("int")).withColumn("event_offset", F.when(blocked.isNull(), offset))
     out = out.withColumn("exclusion_reason", F.coalesce(blocked, F.when(F.col("y").isNull(), "incomplete_performance_window")))
-    return out.drop(*(f"_{x}{j}" for x in "ps" for j in steps))
+    return out.drop("_bad", "_exit", *(f"_{x}{j}" for x in "ps" for j in steps))
 
 
 def next_bad_within(panel: DataFrame, key: str, bad: Column, rows: int) -> DataFrame:

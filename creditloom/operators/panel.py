@@ -15,15 +15,14 @@ def flag_panel(panel: DataFrame, key: str, state: str, bad: Column, before: Call
 
     Previous values hold only where the entity's last report is the period just before; has_prev is never null. All
     windows share one partitioning and order, hence one shuffle and one sort."""
-    whole = Window.partitionBy(key)
     along = Window.partitionBy(key).orderBy("period")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     adjacent = F.coalesce(F.lag("period").over(along) == before(F.col("period"), 1), F.lit(False))
     first_bad = F.min(F.when(bad, F.col("period"))).over(whole)
-    out = panel.withColumn("is_bad", bad).withColumn("first_bad", F.coalesce(F.col("period") == first_bad, F.lit(False)))
-    out = out.withColumn("ever_bad_before", F.coalesce(F.col("period") > first_bad, F.lit(False))).withColumn("has_prev", adjacent)
-    for c in (state, *carried):
-        out = out.withColumn(f"prev_{c}", F.when(F.col("has_prev"), F.lag(c).over(along)))
-    return out
+    seen = panel.select("*", bad.alias("is_bad"), first_bad.alias("_first"), adjacent.alias("has_prev"), *(F.lag(c).over(along).alias(f"_prev_{c}") for c in (state, *carried)))
+    flags = {"first_bad": F.coalesce(F.col("period") == F.col("_first"), F.lit(False)), "ever_bad_before": F.coalesce(F.col("period") > F.col("_first"), F.lit(False))}
+    flags |= {f"prev_{c}": F.when(F.col("has_prev"), F.col(f"_prev_{c}")) for c in (state, *carried)}
+    return seen.withColumns(flags).drop("_first", *(f"_prev_{c}" for c in (state, *carried)))
 
 
 def transition_counts(flagged: DataFrame, state: str, weight: str | None = None) -> DataFrame:
