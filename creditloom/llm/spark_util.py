@@ -46,9 +46,14 @@ def arrow_map(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: the rows are written to the shared checkpoint folder and read from there."""
+def cut(df: DataFrame, layout: bool = False) -> DataFrame:
+    """Cut the lineage: the rows are written to the shared checkpoint folder and read from there.
+
+    Rows go to a quarter of the shuffle's partitions at most, but one a core at least, since every file costs the
+    executors a few calls of the system; ``layout`` keeps the partitioning of ``df`` for the joins that follow."""
     ensure_checkpoint_dir(df.sparkSession)
+    if not layout:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, partitions(df) // 4))
     return df.checkpoint(eager=True)
 
 
@@ -121,8 +126,8 @@ def components(edges: DataFrame) -> DataFrame:
     if not n:
         return ways.select("node", F.col("other").alias("component"))
     parts = max(1, min(partitions(edges), -(-n // EDGES_A_TASK)))  # a few links need not be dealt to many tasks
-    ways = cut(ways.repartition(parts, "other"))
-    labels = cut(ways.groupBy(F.col("other").alias("node")).agg(F.min("node").alias("component")))
+    ways = cut(ways.repartition(parts, "other"), layout=True)
+    labels = cut(ways.groupBy(F.col("other").alias("node")).agg(F.min("node").alias("component")), layout=True)
     before = None
     for _ in range(ROUNDS):
         now = labels.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("s")).first().s
@@ -131,7 +136,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         for _ in range(STEPS_A_ROUND):
             labels = ways.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component").repartition(parts, "node").groupBy("node").agg(F.min("component").alias("component"))
-        labels = cut(labels)
+        labels = cut(labels, layout=True)
     ends = edges.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
     ends = cut(ends.where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
     if ends.isEmpty():
