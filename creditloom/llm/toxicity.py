@@ -10,7 +10,8 @@ is shorter, are divided by its length, and so are those of the whole text and of
 the largest differences, fitted on labelled texts that the counts have not seen, gives the score.
 
 A model with raw bigram counts above the continuation counts ranked held-out texts worse (0.945 against 0.962 of area
-under the curve on the driver's sf0.1 tables), so words are the highest order.
+under the curve on the driver's sf0.1 tables), so words are the highest order. Order, discount and window were chosen
+among some twelve settings on that same held-out fold, so the figures are optimistic.
 
 The classifier is fitted on a bounded sample of labelled rows, MAX_LABELLED at most in expectation, drawn by a hash
 of their ids; its tables are bounded by the sample's words. Whole texts are scored, all of them. A null text counts
