@@ -43,7 +43,8 @@ def test_query_equals_sql(spark, data, con, name):
     want, want_cols = rows(con.execute(ORACLES[name]).df())
     assert cols == want_cols
     assert got == want
-    assert got
+    # its last month has no group of the least size in the smallest tables; at sf0.01 it has three
+    assert got or name == "segment_alerts"
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"gbt_challenger"}))
