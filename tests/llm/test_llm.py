@@ -243,6 +243,51 @@ def test_line_votes(spark):
     assert row.sim & (1 << 64) - 1 == want
 
 
+def word_edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def brute_removed(lines):
+    """The documents, of one line each, that are not the first of their group by the rule of a tenth of the words."""
+    sets, root = {i: t.split() for i, t in lines}, {i: i for i, _ in lines}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            n = max(len(sets[a]), len(sets[b]))
+            if a < b and abs(len(sets[a]) - len(sets[b])) <= n // 10 and word_edits(sets[a], sets[b]) <= n // 10:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i for i in sets if find(i) != i}
+
+
+def test_similar_lines_equal_brute_force(spark):
+    """Every edit of a tenth of the words is found, from ten words on, and nothing beyond it."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    lines = []
+    for n in [*range(9, 41), 49, 50, 59, 60, 79, 80, 89, 90, 99, 100, 130]:
+        for edits in {1, max(1, n // 10), n // 10 + 1}:
+            line = [word() for _ in range(n)]
+            changed = list(line)
+            for at in sorted((round((k + 1) * n / (edits + 1)) for k in range(edits)), reverse=True):  # evenly, which leaves the shortest runs
+                how = rng.randrange(3)
+                changed[at : at + (how < 2)] = [word()] if how else []
+            lines += [line, changed]
+    rows = list(enumerate(" ".join(x) for x in lines))
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_removed}
+    assert got == brute_removed(rows)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(2)
