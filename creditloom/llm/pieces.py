@@ -35,6 +35,7 @@ BLANK = 0x2581
 LONGEST = 48
 BATCH_BYTES = 1 << 20
 CACHED = 300_000
+MEMO = 1 << 20
 
 
 @dataclass
@@ -72,7 +73,7 @@ class PieceModel:
             for i in np.flatnonzero(self.size == 1):
                 single[ord(self.text[i])] = i
             self._ready |= {
-                "number": number, "index": vec.HashIndex(self.keys), "pairs": vec.HashIndex(_pair_key(self.left[pair], self.right[pair])), "merged": pair,
+                "number": number, "endings": _endings(self), "memo": (np.full(MEMO, -1, np.int64), np.zeros(MEMO, bool)), "pairs": vec.HashIndex(_pair_key(self.left[pair], self.right[pair])), "merged": pair,
                 "joins": joins, "lengths": lengths, "at": at, "flat": flat, "single": single, "longest": int(self.size.max()), "slow": {},
             }
         return self._ready
@@ -185,7 +186,23 @@ def load(path: str = MODEL) -> PieceModel:
 
 
 def compatible(model: PieceModel, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For adjacent pieces (a, b), whether merging by priority could leave a border between them."""
+    """For adjacent pieces (a, b), whether merging by priority could leave a border between them.
+
+    The process remembers the answers for MEMO pairs; a later pair takes the place of an earlier one."""
+    t = model.tables()
+    known, answer = t["memo"]
+    pair = a << 32 | b
+    slot = ((pair.view(vec.U64) * vec.U64(0x9E3779B97F4A7C15)) >> vec.U64(64 - MEMO.bit_length() + 1)).astype(np.int64)
+    ok = answer[slot]
+    miss = np.flatnonzero(known[slot] != pair)
+    if len(miss):
+        ok[miss] = _compatible(model, a[miss], b[miss])
+        known[slot[miss]] = pair[miss]  # of two pairs with one slot the last stays, in both arrays
+        answer[slot[miss]] = ok[miss]
+    return ok
+
+
+def _compatible(model: PieceModel, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     t = model.tables()
     ok = np.ones(len(a), bool)
     a, b, limit = a.copy(), b.copy(), np.full(len(a), len(model.text) + 1)
@@ -208,30 +225,49 @@ def compatible(model: PieceModel, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ok
 
 
+def _endings(model: PieceModel) -> tuple[vec.HashIndex, np.ndarray]:
+    """All endings of pieces by hash, and the piece that each is, -1 where it is only the end of longer ones."""
+    size = model.size
+    end = np.repeat(np.cumsum(size), size)
+    length = np.concatenate([np.arange(1, n + 1) for n in size])
+    codes = np.array([ord(c) for text in model.text for c in text], np.int64)
+    keys = np.unique(np.concatenate([_hashes(codes, end - length, end, _running(codes)), model.keys]))
+    return vec.HashIndex(keys), vec.HashIndex(model.keys).find(keys)
+
+
 def viterbi(model: PieceModel, codes: np.ndarray, run: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces (inner numbers) of the words of ``n`` characters at ``starts``: flat, and how many each word has."""
+    """Pieces (inner numbers) of the words of ``n`` characters at ``starts``: flat, and how many each has."""
     t = model.tables()
+    endings, piece_of = t["endings"]
     words = len(starts)
     last = np.full((n + 1, words), -1, np.int64)
     best = np.full((n + 1, words), -np.inf)
     best[0] = 0
     for i in range(1, n + 1):
-        for size in range(min(i, t["longest"]), 0, -1):
-            begin = starts + (i - size)
-            piece = t["index"].find(_hashes(codes, begin, starts + i, run))
-            at = np.flatnonzero((piece >= 0) & ((best[i - size] > -np.inf) if not model.bpe else (last[i] < 0)))
-            if not len(at):
-                continue
+        found = []  # by size: the words that have a piece of that size here, and the piece
+        live = np.arange(words)
+        for size in range(1, min(i, t["longest"]) + 1):
+            ending = endings.find(_hashes(codes, starts[live] + (i - size), starts[live] + i, run))
+            live, ending = live[ending >= 0], ending[ending >= 0]  # no piece ends in more than this
+            if not len(live):
+                break
+            piece = piece_of[ending]
+            found.append((size, live[piece >= 0], piece[piece >= 0]))
+        for size, at, piece in reversed(found):
             if model.bpe:
+                fit = last[i, at] < 0
+                if i > size:
+                    fit &= last[i - size, at] >= 0
+                at, piece = at[fit], piece[fit]
                 if i > size:
-                    at = at[last[i - size, at] >= 0]
-                    at = at[compatible(model, last[i - size, at], piece[at])]
-                last[i, at] = piece[at]
+                    fit = compatible(model, last[i - size, at], piece)
+                    at, piece = at[fit], piece[fit]
+                last[i, at] = piece
             else:
-                total = best[i - size, at] + model.score[piece[at]]
+                total = best[i - size, at] + model.score[piece]
                 better = total > best[i, at]
                 best[i, at[better]] = total[better]
-                last[i, at[better]] = piece[at[better]]
+                last[i, at[better]] = piece[better]
     out = np.full((n, words), -1, np.int64)
     place = np.full(words, n)
     steps = 0
@@ -251,10 +287,10 @@ def _slow(model: PieceModel, word: str) -> np.ndarray:
     t = model.tables()
     if word not in t["slow"]:
         if model.bpe:
-            n = len(model.text)
-            rank = {p: (i if model.score[i] > -1e8 else n) for p, i in t["number"].items() if len(p) > 1 and model.outer[i] >= 0}
-            rank = t.setdefault("rank", rank)
-            parts = [t["number"].get(p, -1) for p in merge(list(word), rank)]
+            if "rank" not in t:
+                n = len(model.text)
+                t["rank"] = {p: (i if model.score[i] > -1e8 else n) for p, i in t["number"].items() if len(p) > 1 and model.outer[i] >= 0}
+            parts = [t["number"].get(p, -1) for p in merge(list(word), t["rank"])]
             found = np.array(parts)
         else:
             codes = np.array([ord(c) for c in word], np.int64)

@@ -162,18 +162,21 @@ class HashIndex:
         self.shift = U64(64 - bits)
         top = (self.keys >> self.shift).astype(np.int64)
         self.start = np.searchsorted(top, np.arange((1 << bits) + 1)).astype(np.int32)
-        self.depth = int(np.diff(self.start).max()) if len(keys) else 0
 
     def find(self, query: np.ndarray) -> np.ndarray:
         """Row number of each query hash in the given keys, -1 where there is none."""
-        if not len(self.keys):
-            return np.full(len(query), -1, np.int64)
-        at = self.start[(query >> self.shift).astype(np.int64)].astype(np.int64)
-        last = len(self.keys) - 1
         found = np.full(len(query), -1, np.int64)
-        for _ in range(self.depth):
-            probe = np.minimum(at, last)
-            hit = self.keys[probe] == query
-            found[hit] = self.order[probe[hit]]
+        if not len(self.keys):
+            return found
+        bucket = (query >> self.shift).astype(np.int64)
+        at, end = self.start[bucket], self.start[bucket + 1]
+        # most queries meet an empty bucket or are settled by the first key
+        open_ = np.flatnonzero(at < end)
+        at, end = at[open_], end[open_]
+        while len(open_):
+            hit = self.keys[at] == query[open_]
+            found[open_[hit]] = self.order[at[hit]]
             at += 1
+            more = ~hit & (at < end)
+            open_, at, end = open_[more], at[more], end[more]
         return found
