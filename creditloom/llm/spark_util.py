@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -57,6 +58,14 @@ def cut(df: DataFrame, layout: bool = False) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table in the shared checkpoint folder, for rows of which later steps read some columns only."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Have the driver collect what is no longer referenced: Spark then deletes its shuffle files on the executors.
 
