@@ -110,24 +110,33 @@ def brute_schedule(shares, blocks):
     return out
 
 
-def test_schedule_is_fair():
-    shares, blocks = [5, 3, 2], [17, 4, 9]
-    plan = mixing.plan(shares, blocks)
-    slots = {}
-    for j, (first, start, length) in enumerate(zip(plan.first, plan.start, plan.length, strict=True)):
-        last = plan.first[j + 1] if j + 1 < len(plan.first) else first + 50
-        for period in range(first, last):
-            for i, places in enumerate(plan.places[j]):
-                for k, place in enumerate(places):
-                    if period * shares[i] + k < blocks[i]:
-                        slots[i, period * shares[i] + k] = start + (period - first) * length + place
-    assert sorted(slots.values()) == list(range(sum(blocks)))
-    assert len(brute_schedule(shares, blocks)) == sum(blocks)
+@pytest.mark.parametrize("shares, blocks", [([5, 3, 2], [17, 4, 9]), ([7000, 2999, 1], [140, 60, 3]), ([1, 1, 1], [5, 5, 5]), ([9], [4]), ([3, 3, 1, 5], [1, 9, 2, 30])])
+def test_schedule_equals_brute_force(shares, blocks):
+    """The same order as a plain run with exact fractions; every source is within a block of its share until one runs out."""
+    slots = {slot: (i, k) for i, places in enumerate(mixing.schedule(shares, blocks)) for k, slot in enumerate(places)}
+    assert [slots[t] for t in range(sum(blocks))] == brute_schedule(shares, blocks)
     done = collections.Counter()
-    for t, (i, _) in enumerate(sorted(slots, key=slots.get), 1):
-        done[i] += 1
-        if t <= 8:  # all sources still run: every share is met to within a block
-            assert all(abs(done[s] - t * a / 10) < 1 for s, a in enumerate(shares))
+    for t in range(1, sum(blocks) + 1):
+        done[slots[t - 1][0]] += 1
+        if all(t * a <= n * sum(shares) for a, n in zip(shares, blocks, strict=True)):
+            assert all(abs(done[i] - t * a / sum(shares)) < 1 for i, a in enumerate(shares))
+
+
+def test_mixing_follows_the_schedule(spark):
+    rows = [(i, f"s{min(2, i % 7)}", "x", 1, 2) for i in range(300)] + [(None, None, f"t{i}", 0, 0) for i in range(20)] + [(5, "s1", "again", 0, 0)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, slot int, position int")
+    target = {"s0": 5.0, "s1": 1.0, "s2": 3.0, None: 0.25}
+    got = mixing.mix(docs, target, block_rows=4).orderBy("position").collect()
+    counts = collections.Counter(r.source for r in got)
+    sources = sorted(counts, key=lambda x: (-counts[x], x is not None, x or ""))
+    want = brute_schedule([int(target[x] * 4) for x in sources], [-(-counts[x] // 4) for x in sources])
+    seen = list(dict.fromkeys((r.slot, r.source, r.block) for r in got))
+    assert [(sources[i], k) for i, k in want] == [x[1:] for x in seen] and [x[0] for x in seen] == list(range(len(want)))
+    again = mixing.mix(docs.repartition(5, "text"), target, block_rows=4).orderBy("position").collect()
+    assert [(r.doc_id, r.text) for r in again] == [(r.doc_id, r.text) for r in got]
+    with pytest.MonkeyPatch.context() as m, pytest.raises(ValueError):
+        m.setattr(mixing, "MAX_SOURCES", 2)
+        mixing.mix(docs)
 
 
 def test_mixing_keeps_every_row(odd_docs, no_docs):
@@ -356,11 +365,11 @@ def test_toxicity(spark, odd_docs):
 def test_lm_base_score_and_bounds(spark, odd_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     docs = odd_docs.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text").where("doc_id = 9"))
-    train = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 10]
+    train = [r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
     tokens = {i: [*words_of(t), "\n"] for i, t in rows}
     c = collections.Counter(w for i in train for w in tokens[i])
     n, v = sum(c.values()), len(c)
-    found = lm_score.score(docs, odd_docs.where(spark_util.fold("doc_id", 10) != 0).select("doc_id", "text")).collect()
+    found = lm_score.score(docs.withColumn("score", F.lit("x")), spark_util.fold("doc_id", 10) != 0).collect()
     assert len(found) == len(rows) + 1
     for r in found:
         want = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens[r.doc_id])
@@ -373,15 +382,57 @@ def test_bit_chances_add_up():
     assert sum(2.0 ** -int(x) for x in code.length) == pytest.approx(1)
     rng = np.random.default_rng(0)
     sizes = [1 << w for _, w in lm_score.FAMILIES]
-    m = lm_score.BitModel(code, [rng.normal(size=n).astype(np.float32) for n in sizes], [rng.integers(0, 5, size=n).astype(np.int8) for n in sizes], rng.normal(size=(36, 5)))
+    m = lm_score.BitModel(code, 0, [rng.normal(size=n).astype(np.float32) for n in sizes], [rng.integers(0, 5, size=n).astype(np.int8) for n in sizes], rng.normal(size=(36, 5)))
     words = [bytes([a]) for a in range(256) if a not in (32, 10)]
     low = np.frombuffer(b"".join(words), np.uint8)
     total = (10 ** lm_score.word_costs(m, low, np.arange(len(words)), np.arange(len(words)) + 1)).sum()
     assert 0 < total <= 1 + 1e-9
 
 
+def test_lm_scores_equal_a_plain_model(spark, monkeypatch):
+    """Against counts, bits and mixing written out word by word and bit by bit."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40))) for _ in range(40)] + ["new wörds here here"]
+    docs = spark.createDataFrame([(i, t, i < 40) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    words = lm_score.word_table(docs.select("text", "train")).cache()
+    counts = {bytes(r.word): r.c for r in words.collect()}
+    plain = collections.Counter(w.encode() for t in texts[:40] for w in [*t.split(), ""])
+    assert {w: c for w, c in counts.items() if c} == dict(plain)
+    kinds, total = len(plain), sum(plain.values())
+    model = lm_score.fit(words, kinds)
+
+    def spell(word):
+        cost, before = 0.0, []
+        symbols = [*word, 32] if word else [10]
+        for at, symbol in enumerate(symbols):
+            for depth in range(int(model.code.length[symbol])):
+                bit = int(model.code.path[symbol]) >> (int(model.code.length[symbol]) - 1 - depth) & 1
+                low = np.frombuffer(word, np.uint8)
+                _, slots, _ = lm_score.bit_stream(model.code, model.wider, low, np.array([0]), np.array([len(word)]))
+                here = [int(s[len(before)]) for s in slots]
+                gate = int(model.seen[2][here[2]]) * (len(lm_score._SEEN) + 1) + int(model.seen[3][here[3]])
+                x = model.weights[gate][-1] + sum(model.weights[gate][k] * model.logit[k][s] for k, s in enumerate(here))
+                cost += math.log10(1 / (1 + math.exp(-x if bit else x)))
+                before.append(bit)
+        return cost
+
+    chance = {w: max(c - lm_score.DISCOUNT, 0) / total + lm_score.DISCOUNT * kinds / total * 10 ** spell(w) for w, c in counts.items()}
+    monkeypatch.setattr(lm_score, "fit", lambda *_: model)  # what is learnt depends on the order of the words
+    got = {r.doc_id: r for r in lm_score.score(docs, F.col("train")).collect()}
+    for i, t in enumerate(texts):
+        want, seen = 0.0, []
+        for w in [*t.split(), ""]:
+            hits = len(seen) - len(set(seen))
+            share = lm_score.OWN_SHARE * (hits + 0.5) / (len(seen) + 2) if seen else 0.0
+            own = share * seen.count(w) / len(seen) if seen and w else 0.0
+            want += math.log10(own + (1 - share) * chance[w.encode()])
+            seen.append(w)
+        assert got[i].score == pytest.approx(want, rel=2e-3)
+
+
 def test_empty_tables(spark, no_docs):
-    assert lm_score.score(no_docs.select("doc_id", "text"), no_docs.select("doc_id", "text")).count() == 0
+    assert lm_score.score(no_docs.select("doc_id", "text"), F.lit(True)).count() == 0
 
 
 def test_hash_index():
