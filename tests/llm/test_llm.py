@@ -248,8 +248,9 @@ def test_line_votes(spark):
     text = " ".join(f"w{i}" for i in range(15))
     docs = spark.createDataFrame([(1, text)], "id long, text string")
     classes = line_dedup.line_table(docs).select("h1", F.struct("id", "place").alias("first"))
-    row = line_dedup.line_forms(docs, classes, classes.select("h1")).first()
-    hashes = [r.h & (1 << 64) - 1 for r in spark.createDataFrame([(w,) for w in text.split()], "w string").select(F.xxhash64(F.lit("vote"), "w").alias("h")).collect()]
+    forms = line_dedup.line_forms(docs, classes, classes.select("h1"))
+    row = line_dedup.sim_hashes(forms).first()
+    hashes = [r.h & (1 << 64) - 1 for r in spark.createDataFrame([(w,) for w in forms.first().form], "w string").select(F.xxhash64("w").alias("h")).collect()]
     want = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
     assert row.sim & (1 << 64) - 1 == want
 
