@@ -4,6 +4,7 @@ Every function reduces rows to one count a distinct score (or bin) first; window
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -186,14 +187,19 @@ def weighted_quantiles(rows: DataFrame, value: str, weight: str, qs: Sequence[fl
 
 
 def recalibrate(rows: DataFrame, log_odds: str, y: str, iterations: int = 100, tolerance: float = 1e-12) -> dict[str, float]:
-    """Intercept and slope of y on the log-odds by Newton steps; each step is one aggregate of five sums."""
+    """Intercept and slope of y on the log-odds by Newton steps; each step is one aggregate of five sums.
+
+    Without a solution (one class, one value, or classes that a threshold separates) all values are nan."""
+    nothing = dict.fromkeys(("intercept", "slope", "intercept_se", "slope_se", "slope_z_vs_1"), float("nan"))
     a, b = 0.0, 1.0
     h = np.eye(2)
     for _ in range(iterations):
         p = 1 / (1 + F.exp(-(a + b * F.col(log_odds))))
         w, r, x = p * (1 - p), F.col(y) - p, F.col(log_odds)
         s = rows.agg(F.sum(r), F.sum(r * x), F.sum(w), F.sum(w * x), F.sum(w * x * x)).first()
-        h = np.array([[s[2], s[3]], [s[3], s[4]]])
+        h = np.array([[s[2] or 0.0, s[3] or 0.0], [s[3] or 0.0, s[4] or 0.0]])
+        if not np.isfinite(h).all() or np.linalg.cond(h) > 1e12 or abs(b) > 1e3:
+            return nothing
         step = np.linalg.solve(h, np.array([s[0], s[1]]))
         a, b = a + step[0], b + step[1]
         if np.abs(step).max() < tolerance:
@@ -218,6 +224,7 @@ def bootstrap_intervals(rows: DataFrame, score: str, y: str, by: Sequence[str],
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in by)
     counts = score_counts(rows, score, y, by)
     names = list(by)
+    columns = [*names, "metric", "estimate", "ci_low", "ci_high", "se"]
 
     def draw(pdf):
         import pandas as pd
@@ -225,11 +232,14 @@ def bootstrap_intervals(rows: DataFrame, score: str, y: str, by: Sequence[str],
         pdf = pdf.sort_values("s")
         bad, good = pdf["bad"].to_numpy(), pdf["good"].to_numpy()
         key = [pdf[c].iloc[0] for c in names]
-        rng = np.random.default_rng([seed, *(abs(hash(str(k))) % 2**31 if not isinstance(k, str) else int.from_bytes(k.encode()[:4], "big") for k in key)])
-        got = np.array([auc_ks_from_counts(rng.multinomial(bad.sum(), bad / bad.sum()), rng.multinomial(good.sum(), good / good.sum())) for _ in range(resamples)])
         point = auc_ks_from_counts(bad, good)
+        if not bad.sum() or not good.sum():  # one class only: nothing to measure
+            return pd.DataFrame([[*key, m, None, None, None, None] for m in ("auc", "ks")], columns=columns).astype(dict.fromkeys(columns[-4:], float))
+        digest = hashlib.sha256(repr((seed, [str(k) for k in key])).encode()).digest()
+        rng = np.random.default_rng(int.from_bytes(digest[:16], "big"))
+        got = np.array([auc_ks_from_counts(rng.multinomial(bad.sum(), bad / bad.sum()), rng.multinomial(good.sum(), good / good.sum())) for _ in range(resamples)])
         tail = (1 - level) / 2
-        return pd.DataFrame([[*key, m, point[i], *np.quantile(got[:, i], [tail, 1 - tail]), got[:, i].std(ddof=1)] for i, m in enumerate(("auc", "ks"))], columns=[*names, "metric", "estimate", "ci_low", "ci_high", "se"])
+        return pd.DataFrame([[*key, m, point[i], *np.quantile(got[:, i], [tail, 1 - tail]), got[:, i].std(ddof=1)] for i, m in enumerate(("auc", "ks"))], columns=columns)
 
     fields = f"{schema}, " if schema else ""
     return counts.groupBy(*by).applyInPandas(draw, f"{fields}metric string, estimate double, ci_low double, ci_high double, se double")

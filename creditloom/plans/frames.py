@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import exact_sum, month, month_index
@@ -35,8 +35,7 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderstatus", month("o_orderdate").alias("period"))
     rank = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "P", 1).otherwise(0)
     p = o.groupBy("o_custkey", "period").agg(F.max(rank).alias("state"), F.count("*").alias("n_orders"), exact_sum("o_totalprice").alias("amount"))
-    first = o.groupBy("o_custkey").agg(F.min("period").alias("first_period"))
-    p = p.join(first, "o_custkey").withColumn("mob", month_index("period") - month_index("first_period"))
+    p = p.withColumn("first_period", F.min("period").over(Window.partitionBy("o_custkey"))).withColumn("mob", month_index("period") - month_index("first_period"))
     return p.withColumn("vintage", F.year("first_period")).withColumn("letter", F.when(F.col("state") == 2, "B").when(F.col("state") == 1, "P").otherwise("N"))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.operators import binning, metrics, rules, scorecard
@@ -111,25 +114,68 @@ def gbt_challenger(spark, d):
     return spark.createDataFrame([(f, float(v), model.params, float(model.validation_ap)) for f, v in model.importances], "feature string, importance double, params string, validation_ap double")
 
 
-CONCLUSION = {
-    "blocking_checks": {}, "auc_ci_lower": {"remediate_below": 0.55, "note_below": 0.65}, "adverse_impact_ratio": {"note_below": 0.8}, "sensitive_calibration": {"note_z_above": 3.0, "min_group": 50},
-    "slope": {"note_outside": [0.9, 1.1], "remediate_outside": [0.7, 1.3], "note_z_above": 3.0}, "flagged_bands": {"note_above": 2},
-}
+CONCLUSION = [
+    rules.Bound("blocking_checks", "failed_checks", "remediate", start=1),
+    rules.Bound("auc_ci_lower", "auc_ci_low", "note", low=0.65),
+    rules.Bound("auc_ci_lower", "auc_ci_low", "remediate", low=0.55),
+    rules.Bound("slope", "slope", "note", low=0.9, high=1.1),
+    rules.Bound("slope", "slope", "remediate", low=0.7, high=1.3),
+    rules.Bound("slope", "slope_z", "note", high=3.0),
+    rules.Bound("flagged_bands", "flagged_bands", "note", start=3),
+    rules.Bound("output_psi", "output_light", "note", start=1),
+    rules.Bound("feature_psi", "feature_light", "note", start=2),
+    rules.Bound("sensitive_calibration", "flagged_groups", "note", start=1),
+    rules.Bound("adverse_impact_ratio", "least_impact_ratio", "note", low=0.8),
+    rules.Bound("adverse_impact_ratio", "least_impact_ratio", "remediate", low=0.5),
+    rules.Bound("group_auc_gap", "auc_gap", "note", high=0.05),
+]
+
+
+def segment_measures(rows, least=0.3):
+    """(model, split, dimension, grp, n, z, impact_ratio, auc) of the segments of scored rows and of all rows."""
+    grouped = {"(all)": F.lit("(all)"), "segment": F.col("segment")}
+    out = []
+    for dimension, group in grouped.items():
+        g = rows.withColumn("dimension", F.lit(dimension)).withColumn("grp", group)
+        by = ["model", "split", "dimension", "grp"]
+        variance = F.sum(F.col("pd") * (1 - F.col("pd")))
+        sums = g.groupBy(*by).agg(F.count("*").alias("n"), ((F.sum("y") - F.sum("pd")) / F.sqrt(variance)).alias("z"), F.avg((F.col("pd") < least).cast("double")).alias("passed"))
+        out.append(sums.join(metrics.discrimination(g, "risk", "y", by).select(*by, "auc"), by, "left"))
+    both = out[0].unionByName(out[1])
+    most = F.max(F.when(F.col("grp") != "(all)", F.col("passed"))).over(Window.partitionBy("model", "split"))
+    return both.withColumn("impact_ratio", F.when(F.col("grp") != "(all)", F.col("passed") / F.nullif(most, F.lit(0.0)))).drop("passed")
+
+
+def stability_measures(spark, d):
+    """(model, kind, sample, segment, psi, light) of the scores and of a feature, test against training rows."""
+    rows = scored(spark, d)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    out = []
+    for m in "ab":
+        for kind, column in (("output", f"pd_{m}"), ("feature", "amount")):
+            of = metrics.psi_numeric(train, test, column).agg(F.sum("contribution").alias("psi"))
+            light = F.when(F.col("psi") < 0.1, "green").when(F.col("psi") <= 0.25, "amber").otherwise("red")
+            out.append(of.select(F.lit(m).alias("model"), F.lit(kind).alias("kind"), F.lit("population").alias("sample"), F.lit("all").alias("segment"), "psi", light.alias("light")))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("conclusion_rules")
 def conclusion_rules(spark, d):
     """The rules over the metrics of both models on the test rows, with verdicts."""
+    from creditloom.plans.check_queries import population_checks
     from creditloom.plans.metric_queries import models
 
     rows = models(scored(spark, d).where("split = 'test'"))
-    ci = metrics.bootstrap_intervals(rows, "risk", "y", ["model", "split"], resamples=50).collect()
+    intervals = metrics.bootstrap_intervals(rows, "risk", "y", ["model", "split"], resamples=50)
     lo = rows.withColumn("lo", F.ln(F.col("pd") / (1 - F.col("pd"))))
-    cal = [{"model": m, "split": "test", **metrics.recalibrate(lo.where(F.col("model") == m), "lo", "y")} for m in "ab"]
-    bands = [{"model": m, "split": "test", "flagged": r.flagged} for m in "ab" for r in metrics.reliability(rows.where(F.col("model") == m), "pd", "y", "id", 10).collect()]
-    got, verdicts = rules.conclude({"checks": [], "intervals": [r.asDict() for r in ci], "calibration": cal, "bands": bands}, CONCLUSION, ["a", "b"])
-    out = [(r.rule, r.model, r.outcome, None if r.value is None else float(r.value), verdicts[r.model]) for r in got]
-    return spark.createDataFrame(out, "rule string, model string, outcome string, value double, verdict string")
+    found = [(m, "test", metrics.recalibrate(lo.where(F.col("model") == m), "lo", "y")) for m in "ab"]
+    calibration = spark.createDataFrame([(m, s, float(c["slope"]), float(c["slope_z_vs_1"])) for m, s, c in found], "model string, split string, slope double, slope_z_vs_1 double")
+    ratios = rows.groupBy("model", "split").agg((F.sum("y") / F.sum("pd")).alias("ratio_bad_rate_to_pd"))
+    bands = [metrics.reliability(rows.where(F.col("model") == m), "pd", "y", "id", 10).select(F.lit(m).alias("model"), F.lit("test").alias("split"), "flagged") for m in "ab"]
+    checks = population_checks(spark, d).select(F.lit("population").alias("module"), "ok")
+    measured = rules.measures("test", intervals=intervals, calibration=calibration.join(ratios, ["model", "split"]), bands=bands[0].unionByName(bands[1]),
+        stability=stability_measures(spark, d), segments=segment_measures(rows), checks=checks)
+    return rules.conclude(measured, CONCLUSION)
 
 
 @query("availability_matrix")

@@ -169,12 +169,24 @@ def test_apportion_and_split(spark):
     assert n[0, "a"] + n[0, "b"] == 51 and n[0, "a"] in (30, 31)
 
 
-def test_rules():
-    cfg = {"auc_ci_lower": {"remediate_below": 0.6, "note_below": 0.7}, "blocking_checks": {}}
-    got, verdict = rules.conclude({"checks": [{"ok": False, "module": "package"}], "intervals": [{"model": "a", "split": "test", "metric": "auc", "ci_low": 0.65}]}, cfg, ["a"])
-    assert [r.outcome for r in got] == ["remediate", "note"] and verdict == {"a": "remediate"}
+def test_rules(spark):
+    bound = rules.Bound
+    bounds = [bound("blocking_checks", "failed_checks", "remediate", start=1), bound("auc_ci_lower", "auc_ci_low", "remediate", low=0.6), bound("auc_ci_lower", "auc_ci_low", "note", low=0.7),
+              bound("flagged_bands", "flagged_bands", "note", start=2), bound("slope", "slope", "note", low=0.9, high=1.1), bound("slope", "slope_z", "remediate", high=3), bound("output_psi", "output_light", "note", start=1)]
+    found = rules.measures(
+        "test", intervals=spark.createDataFrame([("a", "test", "auc", 0.65), ("b", "test", "auc", 0.7)], "model string, split string, metric string, ci_low double"),
+        bands=spark.createDataFrame([("a", "test", True), ("a", "test", True), ("b", "test", True)], "model string, split string, flagged boolean"),
+        calibration=spark.createDataFrame([("a", "test", 1.1, -3.0, 1.0), ("b", "test", 0.89, 3.5, 1.0)], "model string, split string, slope double, slope_z_vs_1 double, ratio_bad_rate_to_pd double"),
+        checks=spark.createDataFrame([("package", False), ("stability", False)], "module string, ok boolean"),
+    )
+    got = {(r.rule, r.model): (r.outcome, r.value, r.verdict) for r in rules.conclude(found, bounds).collect()}
+    assert got["auc_ci_lower", "a"][:2] == ("note", 0.65) and got["auc_ci_lower", "b"][0] == "pass"
+    assert got["flagged_bands", "a"][0] == "note" and got["flagged_bands", "b"][0] == "pass"
+    assert got["slope", "a"][0] == "pass" and got["slope", "b"][:2] == ("remediate", 0.89)
+    assert got["blocking_checks", "b"][:2] == ("remediate", 1.0) and got["output_psi", "a"][:2] == ("skipped", None)
+    assert {v for _, _, v in got.values()} == {"remediate"}
     with pytest.raises(ValueError):
-        rules.conclude({}, {"no_such_rule": {}}, ["a"])
+        rules.conclude(found, [bound("no_such_rule", "x", "note")])
     assert rules.recommend({"a": "pass", "b": "note"}, "a", "b", {"estimate": 0.1, "ci_low": 0.05, "ci_high": 0.2}) == {"deploy": "b", "benchmark": "a"}
     assert rules.recommend({"a": "pass", "b": "note"}, "a", "b", None)["deploy"] == "a"
 
