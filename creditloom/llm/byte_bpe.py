@@ -27,6 +27,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,8 +54,9 @@ def fold_tree(parts: list, join: Callable):
 class ByteBpe:
     """Ranks of a vocabulary, which are its ids, with what a process remembers of matches, leaves and windows."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kinds: np.ndarray | None = None):
         self.ranks, self.pattern = ranks, pattern
+        self.kinds = code_point_kinds() if kinds is None else kinds
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
@@ -64,7 +66,7 @@ class ByteBpe:
         self._pairs = None
 
     def __reduce__(self):
-        return ByteBpe, (self.ranks, self.pattern)
+        return ByteBpe, (self.ranks, self.pattern, self.kinds)
 
     def merge(self, text: bytes) -> list[int]:
         """The encoding of ``text`` by merging the best-ranked adjacent pair, the leftmost of equals, until none is left."""
@@ -201,23 +203,29 @@ LETTER, NUMBER, BLANK, OTHER = range(4)
 
 
 @cache
-def _kinds() -> np.ndarray:
-    """For each code point whether the pattern takes it for a letter, a number, white space or something else."""
+def code_point_kinds() -> np.ndarray:
+    """For each code point whether the pattern takes it for a letter, a number, white space or something else.
+
+    Regular expressions differ in their version of Unicode, so it is the library's own that are asked: an encoding of
+    single bytes whose pattern finds one kind gives the bytes of just these characters."""
     kind = np.full(0x110000, OTHER, np.uint8)
     every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    single = {bytes([k]): k for k in range(256)}
     for number, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
-        for found in regex.finditer(name, every):
-            kind[[ord(c) for c in found.group()]] = number
+        found = bytes(tiktoken.Encoding("kind", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(every))
+        kind[np.frombuffer(found.decode().encode("utf-32-le"), np.uint32)] = number
     return kind
 
 
-def match_starts(codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def match_starts(codes: np.ndarray, begin: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Where the matches of public_tokenizers.PATTERN begin in texts one after the other, which begin at ``begin``.
 
     Stretches of one kind are matches. Of white space before something else the last character is a match of its own, or
     the head of what follows if it is a blank; an apostrophe alone takes certain endings from the letters after it."""
     n = len(codes)
-    kind = _kinds()[codes]
+    if not n:
+        return np.zeros(0, np.int64)
+    kind = kinds[codes]
     first = np.zeros(n + 1, bool)
     first[begin] = True
     start = first[:n].copy()
@@ -243,7 +251,7 @@ def match_starts(codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
         rest = taken + k + 1
         rest = rest[rest < n]
         start[rest[kind[rest] == LETTER]] = True
-        quote = quote[~fits]
+        quote, text_end = quote[~fits], text_end[~fits]
     return np.flatnonzero(start | first[:n])
 
 
@@ -254,7 +262,7 @@ def encode_column(model: ByteBpe, column: pa.Array) -> Iterator[tuple[int, int,
         lead = np.flatnonzero((buf & 0xC0) != 0x80)  # the byte at which each character begins
         chars = np.searchsorted(lead, offs)
         if model.pattern == public_tokenizers.PATTERN:
-            starts = match_starts(np.frombuffer(text.encode("utf-32-le"), np.uint32), chars)
+            starts = match_starts(np.frombuffer(text.encode("utf-32-le"), np.uint32), chars, model.kinds)
         else:
             starts = np.array([a + m.start() for a, b in zip(chars[:-1], chars[1:], strict=True) for m in regex.finditer(model.pattern, text[a:b])], np.int64)
         cuts = np.append(lead[starts], len(buf))
