@@ -1,10 +1,10 @@
 """Discrimination, calibration, stability and ranking metrics from counts per distinct score.
 
-Every function reduces rows to one count a distinct score (or bin) first; windows then run over those counts."""
+Every function reduces rows to one count a distinct score (or bin) first; running sums over those counts, and places of
+rows, go range by range (:mod:`creditloom.operators.order_stats`)."""
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Sequence
 
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import left_closed_bin, ratio
-from creditloom.session import ship
+from creditloom.operators.order_stats import numbered, quantiles, running
+from creditloom.session import saved
 
 
 def score_counts(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -23,10 +24,12 @@ def score_counts(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) ->
 
 def discrimination(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """AUC (ties one half), Gini, KS and its threshold, share of tied pairs; null with one class only."""
-    run = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    c = score_counts(rows, score, y, by)
-    c = c.withColumn("cb", F.sum("bad").over(run)).withColumn("cg", F.sum("good").over(run)).withColumn("B", F.sum("bad").over(whole)).withColumn("G", F.sum("good").over(whole))
+    return discrimination_of_counts(score_counts(rows, score, y, by), by)
+
+
+def discrimination_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`discrimination` from counts (by, s, bad, good), one row a score."""
+    c = running(counts, {"cb": "bad", "cg": "good"}, ["s"], by).withColumnsRenamed({"cb_all": "B", "cg_all": "G"})
     gap = F.abs(ratio("cg", "G") - ratio("cb", "B"))
     c = c.withColumn("gap", F.round(gap, 12))
     pairs = F.col("bad") * (F.col("cg") - F.col("good") + F.col("good") / 2)
@@ -48,9 +51,7 @@ def ks_location(rows: DataFrame, score: str, y: str, threshold: float | Column)
 
 def average_precision(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the precision-recall steps; equal scores enter together."""
-    run = Window.partitionBy(*by).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    c = score_counts(rows, score, y, by)
-    c = c.withColumn("tp", F.sum("bad").over(run)).withColumn("n", F.sum(F.col("bad") + F.col("good")).over(run)).withColumn("B", F.sum("bad").over(Window.partitionBy(*by)))
+    c = running(score_counts(rows, score, y, by), {"tp": "bad", "n": F.col("bad") + F.col("good")}, [F.desc("s")], by).withColumnRenamed("tp_all", "B")
     return c.groupBy(*by).agg(F.sum(ratio("bad", "B") * ratio("tp", "n")).alias("average_precision"))
 
 
@@ -65,8 +66,7 @@ def log_loss(p: str, y: str, clip: float = 1e-15) -> Column:
 
 def monthly_rank(rows: DataFrame, score: str, period: str, key: str) -> DataFrame:
     """Place by descending score in the period, ties by key, and the period's size; one sort serves every share."""
-    order = Window.partitionBy(period).orderBy(F.desc(score), key)
-    return rows.withColumn("place", F.row_number().over(order)).withColumn("of", F.count("*").over(Window.partitionBy(period)))
+    return numbered(rows, [F.desc(score), key], [period]).withColumnRenamed("place_all", "of")
 
 
 def top_share(share: float) -> Column:
@@ -84,10 +84,9 @@ def list_performance(ranked: DataFrame, y: str, share: float, by: Sequence[str])
 
 def equal_count_bands(rows: DataFrame, value: str, key: str, bands: int) -> DataFrame:
     """Band 1..k of each row by its rank (ties by key), at linear quantiles of the ranks, right-closed."""
-    w = Window.orderBy(value, key)
-    n = F.count("*").over(Window.partitionBy())
-    r = F.row_number().over(w)
-    return rows.withColumn("band", F.greatest(F.lit(1), F.ceil((r - 1) * bands / F.nullif(n - 1, F.lit(0)) - 1e-12)).cast("int"))
+    ranked = numbered(rows, [value, key])
+    band = F.greatest(F.lit(1), F.ceil((F.col("place") - 1) * bands / F.nullif(F.col("place_all") - 1, F.lit(0)) - 1e-12)).cast("int")
+    return ranked.withColumn("band", band).drop("place", "place_all")
 
 
 def reliability(rows: DataFrame, p: str, y: str, key: str, bands: int, z_limit: float = 1.96) -> DataFrame:
@@ -143,8 +142,7 @@ def psi(reference: DataFrame, current: DataFrame, label: Column, epsilon: float
 
 def quantile_edges(rows: DataFrame, value: str, bins: int) -> list[float]:
     """Inner edges at linear quantiles, each once."""
-    found = rows.agg(F.percentile(value, F.array(*(F.lit(i / bins) for i in range(1, bins))))).first()[0]
-    return sorted(set(found or []))
+    return sorted({r[value] for r in quantiles(rows, value, [i / bins for i in range(1, bins)]).collect()})
 
 
 def psi_numeric(reference: DataFrame, current: DataFrame, value: str, bins: int = 10, epsilon: float = 1e-4) -> DataFrame:
@@ -162,16 +160,6 @@ def psi_categorical(reference: DataFrame, current: DataFrame, value: str, epsilo
     return psi(reference.select(level.alias("label")), marked, F.col("label"), epsilon)
 
 
-def average_rank(value: str, by: Sequence[str] = ()) -> Column:
-    """Rank with ties sharing their mean."""
-    return F.rank().over(Window.partitionBy(*by).orderBy(value)) + (F.count("*").over(Window.partitionBy(*by, value)) - 1) / 2
-
-
-def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
-    ranked = rows.withColumn("_ra", average_rank(a)).withColumn("_rb", average_rank(b))
-    return ranked.where(F.col(a).isNotNull() & F.col(b).isNotNull()).agg(F.corr("_ra", "_rb").alias("spearman"))
-
-
 def swap_set(rows: DataFrame, p_a: str, p_b: str, y: str, threshold: float) -> DataFrame:
     """Rows and bad rates by the two models' decisions."""
     return rows.groupBy((F.col(p_a) >= threshold).alias("reject_a"), (F.col(p_b) >= threshold).alias("reject_b")).agg(F.count("*").alias("n"), F.sum(y).alias("bads"), F.avg(y).alias("bad_rate"))
@@ -180,23 +168,24 @@ def swap_set(rows: DataFrame, p_a: str, p_b: str, y: str, threshold: float) -> D
 def weighted_quantiles(rows: DataFrame, value: str, weight: str, qs: Sequence[float]) -> DataFrame:
     """For each q, the first value at which the running weight reaches share q."""
     c = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.sum(weight).alias("w"))
-    run = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    c = c.withColumn("share", F.sum("w").over(run) / F.sum("w").over(Window.partitionBy()))
+    c = running(c, {"upto": "w"}, ["v"]).withColumn("share", F.col("upto") / F.col("upto_all"))
     each = c.withColumn("q", F.explode(F.array(*(F.lit(float(q)) for q in qs))))
     return each.where(F.col("share") >= F.col("q") - 1e-12).groupBy("q").agg(F.min("v").alias("value"))
 
 
 def recalibrate(rows: DataFrame, log_odds: str, y: str, iterations: int = 100, tolerance: float = 1e-12) -> dict[str, float]:
-    """Intercept and slope of y on the log-odds by Newton steps; each step is one aggregate of five sums.
+    """Intercept and slope of y on the log-odds by Newton steps over counts by log-odds, which are found once; each step is
+    one aggregate of five sums.
 
     Without a solution (one class, one value, or classes that a threshold separates) all values are nan."""
     nothing = dict.fromkeys(("intercept", "slope", "intercept_se", "slope_se", "slope_z_vs_1"), float("nan"))
     a, b = 0.0, 1.0
     h = np.eye(2)
+    counts = saved(score_counts(rows, log_odds, y).select("s", "bad", (F.col("bad") + F.col("good")).alias("n")))
     for _ in range(iterations):
-        p = 1 / (1 + F.exp(-(a + b * F.col(log_odds))))
-        w, r, x = p * (1 - p), F.col(y) - p, F.col(log_odds)
-        s = rows.agg(F.sum(r), F.sum(r * x), F.sum(w), F.sum(w * x), F.sum(w * x * x)).first()
+        p = 1 / (1 + F.exp(-(a + b * F.col("s"))))
+        w, r, x = F.col("n") * p * (1 - p), F.col("bad") - F.col("n") * p, F.col("s")
+        s = counts.agg(F.sum(r), F.sum(r * x), F.sum(w), F.sum(w * x), F.sum(w * x * x)).first()
         h = np.array([[s[2] or 0.0, s[3] or 0.0], [s[3] or 0.0, s[4] or 0.0]])
         if not np.isfinite(h).all() or np.linalg.cond(h) > 1e12 or abs(b) > 1e3:
             return nothing
@@ -206,40 +195,3 @@ def recalibrate(rows: DataFrame, log_odds: str, y: str, iterations: int = 100, t
             break
     se = np.sqrt(np.diag(np.linalg.inv(h)))
     return {"intercept": a, "slope": b, "intercept_se": se[0], "slope_se": se[1], "slope_z_vs_1": (b - 1) / se[1]}
-
-
-def auc_ks_from_counts(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """AUC and KS from bads and goods by ascending score."""
-    below = np.cumsum(good) - good
-    total = bad.sum() * good.sum()
-    auc = (bad * (below + good / 2)).sum() / total if total else float("nan")
-    gap = np.abs(np.cumsum(good) / max(good.sum(), 1) - np.cumsum(bad) / max(bad.sum(), 1))
-    return float(auc), float(gap.max(initial=0))
-
-
-def bootstrap_intervals(rows: DataFrame, score: str, y: str, by: Sequence[str], resamples: int = 200, level: float = 0.95, seed: int = 7) -> DataFrame:
-    """Percentile intervals of AUC and KS, stratified by class: counts per distinct score are drawn again, which has
-    the same law as drawing rows, so what a group's task holds is its distinct scores."""
-    ship(rows.sparkSession)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in by)
-    counts = score_counts(rows, score, y, by)
-    names = list(by)
-    columns = [*names, "metric", "estimate", "ci_low", "ci_high", "se"]
-
-    def draw(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("s")
-        bad, good = pdf["bad"].to_numpy(), pdf["good"].to_numpy()
-        key = [pdf[c].iloc[0] for c in names]
-        point = auc_ks_from_counts(bad, good)
-        if not bad.sum() or not good.sum():  # one class only: nothing to measure
-            return pd.DataFrame([[*key, m, None, None, None, None] for m in ("auc", "ks")], columns=columns).astype(dict.fromkeys(columns[-4:], float))
-        digest = hashlib.sha256(repr((seed, [str(k) for k in key])).encode()).digest()
-        rng = np.random.default_rng(int.from_bytes(digest[:16], "big"))
-        got = np.array([auc_ks_from_counts(rng.multinomial(bad.sum(), bad / bad.sum()), rng.multinomial(good.sum(), good / good.sum())) for _ in range(resamples)])
-        tail = (1 - level) / 2
-        return pd.DataFrame([[*key, m, point[i], *np.quantile(got[:, i], [tail, 1 - tail]), got[:, i].std(ddof=1)] for i, m in enumerate(("auc", "ks"))], columns=columns)
-
-    fields = f"{schema}, " if schema else ""
-    return counts.groupBy(*by).applyInPandas(draw, f"{fields}metric string, estimate double, ci_low double, ci_high double, se double")

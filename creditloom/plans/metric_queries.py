@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import left_closed_bin, light, ratio
-from creditloom.operators import metrics
+from creditloom.operators import metrics, order_stats, segments, uncertainty
 from creditloom.plans.frames import CUSTOMER_MONTHS, SCORED, customer_months, scored
 from creditloom.plans.registry import query
 
@@ -168,7 +168,7 @@ def _average_rank(c: str) -> str:
 
 @query("spearman", f"WITH {SCORED}, r AS (SELECT {_average_rank('risk_a')} AS a, {_average_rank('risk_b')} AS b FROM scored) SELECT round(corr(a, b), {R}) AS spearman FROM r")
 def spearman(spark, d):
-    return metrics.spearman(scored(spark, d), "risk_a", "risk_b").select(*_r("spearman"))
+    return order_stats.spearman(scored(spark, d), "risk_a", "risk_b").select(*_r("spearman"))
 
 
 @query("swap_set", f"WITH {SCORED} SELECT pd_a >= 0.5 AS reject_a, pd_b >= 0.5 AS reject_b, count(*)::BIGINT AS n, sum(y)::BIGINT AS bads, round(avg(y), {R}) AS bad_rate FROM scored GROUP BY ALL")
@@ -188,10 +188,10 @@ def decision_outcomes(spark, d):
 @query("equal_volume", f"""WITH {SCORED}, k AS (SELECT count(*) FILTER (pd_a >= 0.5) AS k FROM scored), r AS (SELECT *, row_number() OVER (ORDER BY pd_b DESC, id) AS place FROM scored)
   SELECT count(*)::BIGINT AS rejected, sum(y)::BIGINT AS bads FROM r WHERE place <= (SELECT k FROM k)""")
 def equal_volume(spark, d):
-    """Reject as many by the other model's order: a count, then a top-k."""
+    """Reject as many by the other model's order: a count, then the rows up to that place."""
     rows = scored(spark, d)
     k = rows.where("pd_a >= 0.5").count()
-    return rows.orderBy(F.desc("pd_b"), "id").limit(k).agg(F.count("*").alias("rejected"), F.sum("y").alias("bads"))
+    return order_stats.numbered(rows, [F.desc("pd_b"), "id"]).where(F.col("place") <= k).agg(F.count("*").alias("rejected"), F.sum("y").alias("bads"))
 
 
 @query("overlap_topk", f"""WITH {SCORED}, n AS (SELECT ceil(0.1 * count(*) - 1e-9)::BIGINT AS k FROM scored), a AS (SELECT id FROM scored ORDER BY risk_a DESC, id LIMIT (SELECT k FROM n)), b AS (SELECT id FROM scored ORDER BY risk_b DESC, id LIMIT (SELECT k FROM n))
@@ -199,7 +199,7 @@ def equal_volume(spark, d):
 def overlap_topk(spark, d):
     rows = scored(spark, d)
     k = -(-rows.count() // 10)
-    top = [rows.orderBy(F.desc(c), "id").limit(k).select("id") for c in ("risk_a", "risk_b")]
+    top = [order_stats.numbered(rows, [F.desc(c), "id"]).where(F.col("place") <= k).select("id") for c in ("risk_a", "risk_b")]
     return top[0].join(top[1], "id").agg(F.lit(k).cast("long").alias("k"), F.count("*").alias("shared"))
 
 
@@ -306,14 +306,88 @@ def watchlist_summary(spark, d):
 def spread_examples(spark, d):
     """Rows at evenly spaced places of the ranking."""
     rows = scored(spark, d).where("split = 'test'")
-    n = rows.count()
-    ranked = rows.withColumn("k", F.row_number().over(Window.orderBy("pd_a", "id")) - 1)
-    return ranked.where(F.col("k").isin([i * (n - 1) // 4 for i in range(5)])).select("id", *_r("pd_a"))
+    last = F.col("place_all") - 1
+    places = F.array(*(F.floor(i * last / 4) for i in range(5)))
+    return order_stats.numbered(rows, ["pd_a", "id"]).where(F.array_contains(places, F.col("place") - 1)).select("id", *_r("pd_a"))
+
+
+MODELS = {m: (f"risk_{m}", f"pd_{m}") for m in "ab"}
+SAMPLES = ("validation", "test")
+
+
+def drawn(spark, d, resamples=200):
+    """Resamples of both models on the validation and the test rows."""
+    return uncertainty.replicates(scored(spark, d).where(F.col("split").isin(*SAMPLES)), MODELS, "y", ["split"], resamples)
 
 
 @query("bootstrap_ci")
 def bootstrap_ci(spark, d):
-    return metrics.bootstrap_intervals(scored(spark, d), "risk_a", "y", ["split"])
+    return uncertainty.intervals(drawn(spark, d), ["split"])
+
+
+@query("uncertainty_differences")
+def uncertainty_differences(spark, d):
+    """Model b less model a on the same draws, and validation less test rows."""
+    return uncertainty.differences(drawn(spark, d), "split", [("a", "b")], [SAMPLES])
+
+
+_FIGURES = f"""{_MODELS}, {_disc('risk', "model || '/' || split").replace('FROM scored', 'FROM mo')}, fig AS (SELECT split_part(k, '/', 1) AS model, split_part(k, '/', 2) AS split, wins / nullif(n_bad * n_good, 0)::DOUBLE AS auc, ks FROM m),
+  br AS (SELECT model, split, avg((pd - y) * (pd - y)) AS brier FROM mo GROUP BY ALL),
+  f AS (SELECT * FROM (SELECT split, model, 'auc' AS metric, auc AS value FROM fig UNION ALL SELECT split, model, 'gini', 2 * auc - 1 FROM fig UNION ALL SELECT split, model, 'ks', ks FROM fig UNION ALL SELECT split, model, 'brier', brier FROM br) WHERE split <> 'train')"""
+
+
+@query("difference_estimates", f"""WITH {SCORED}, {_FIGURES}
+  SELECT 'b - a' AS comparison, x.split AS split, 'both' AS model, x.metric AS metric, true AS paired, round(y.value - x.value, {R}) AS estimate FROM f x JOIN f y ON x.split = y.split AND x.metric = y.metric AND x.model = 'a' AND y.model = 'b'
+  UNION ALL SELECT 'validation - test', 'validation, test', x.model, x.metric, false, round(x.value - y.value, {R}) FROM f x JOIN f y ON x.model = y.model AND x.metric = y.metric AND x.split = 'validation' AND y.split = 'test'""")
+def difference_estimates(spark, d):
+    """The estimates alone, which the draws do not change."""
+    return uncertainty.differences(drawn(spark, d, 2), "split", [("a", "b")], [SAMPLES]).select("comparison", "split", "model", "metric", "paired", *_r("estimate"))
+
+
+@query("uncertainty_checks", f"""WITH {SCORED}, {_FIGURES} SELECT c AS "check", split, model, metric, round(value, {R}) AS claimed, true AS ok FROM f, (SELECT unnest(['interval contains the estimate', 'estimate equals the published figure']) AS c)""")
+def uncertainty_checks(spark, d):
+    """Intervals against their estimates, estimates against figures found in another way."""
+    rows = models(scored(spark, d)).where(F.col("split").isin(*SAMPLES))
+    figures = metrics.discrimination(rows, "risk", "y", ["model", "split"]).join(rows.groupBy("model", "split").agg(metrics.brier("pd", "y").alias("brier")), ["model", "split"])
+    published = figures.unpivot(["split", "model"], list(uncertainty.METRICS), "metric", "value")
+    found = uncertainty.uncertainty_checks(uncertainty.intervals(drawn(spark, d), ["split"]), published, 1e-9)
+    return found.select("check", "split", "model", "metric", *_r("claimed"), "ok")
+
+
+SEGMENTS = {"market": "segment", "priority": "priority", "region": "region"}
+LEAST = 100
+
+
+def segmented(spark, d):
+    """The segments' table on validation and test rows, and the segments that the rows cannot tell apart."""
+    rows = scored(spark, d).where(F.col("split").isin(*SAMPLES))
+    here, gone = segments.computable(SEGMENTS, rows.columns)
+    return segments.segment_table(rows, here, MODELS, "y", least=LEAST, reject_above=0.5), gone
+
+
+_SEGMENTED = f"""{_MODELS}, gr AS (SELECT split, model, y, risk, pd, 'market' AS seg, segment AS grp FROM mo WHERE split <> 'train' UNION ALL SELECT split, model, y, risk, pd, 'priority', priority FROM mo WHERE split <> 'train'
+    UNION ALL SELECT split, model, y, risk, pd, d, '(all)' FROM mo, (SELECT unnest(['market', 'priority']) AS d) WHERE split <> 'train'),
+  {_disc('risk', "split || '|' || model || '|' || seg || '|' || grp").replace("FROM scored", "FROM gr")},
+  b AS (SELECT split || '|' || model || '|' || seg || '|' || grp AS k, split, model, seg AS segment, grp, count(*)::BIGINT AS n, sum(y)::BIGINT AS bads, avg(pd) AS mean_pd, (sum(y) - sum(pd)) / sqrt(sum(pd * (1 - pd))) AS z, avg((pd > 0.5)::INTEGER) AS reject_rate FROM gr GROUP BY ALL),
+  t AS (SELECT b.*, CASE WHEN n >= {LEAST} AND n_bad > 0 AND n_good > 0 THEN wins / (n_bad * n_good)::DOUBLE END AS auc, CASE WHEN n >= {LEAST} AND n_bad > 0 AND n_good > 0 THEN m.ks END AS ks FROM b JOIN m USING (k))"""
+
+
+@query("segment_metrics", f"""WITH {SCORED}, {_SEGMENTED}
+  SELECT split, model, segment, grp, n, bads, round(mean_pd, {R}) AS mean_pd, round(z, 6) AS calibration_z, round(reject_rate, {R}) AS reject_rate, round(auc, {R}) AS auc, round(ks, {R}) AS ks,
+    CASE WHEN n < {LEAST} THEN 'few rows' WHEN bads = 0 OR bads = n THEN 'one outcome' ELSE '' END AS note,
+    CASE WHEN grp <> '(all)' THEN round(auc - max(auc) FILTER (grp = '(all)') OVER w, {R}) END AS auc_gap_vs_all, CASE WHEN grp <> '(all)' THEN round(2 * (auc - max(auc) FILTER (grp = '(all)') OVER w), {R}) END AS gini_gap_vs_all,
+    CASE WHEN grp <> '(all)' THEN round(ks - max(ks) FILTER (grp = '(all)') OVER w, {R}) END AS ks_gap_vs_all,
+    CASE WHEN grp <> '(all)' THEN round((1 - reject_rate) / (max(1 - reject_rate) FILTER (grp <> '(all)' AND n >= {LEAST}) OVER w), {R}) END AS adverse_impact_ratio FROM t WINDOW w AS (PARTITION BY split, model, segment)""")
+def segment_metrics(spark, d):
+    table, _ = segmented(spark, d)
+    rounded = ("mean_pd", "reject_rate", "auc", "ks", "auc_gap_vs_all", "gini_gap_vs_all", "ks_gap_vs_all", "adverse_impact_ratio")
+    return table.select("split", "model", "segment", "grp", "n", "bads", *_r(*rounded), F.round("calibration_z", 6).alias("calibration_z"), "note")
+
+
+@query("segment_checks", f"""WITH {SCORED} SELECT 'groups make up the split' AS "check", split, s AS segment, true AS ok FROM (SELECT DISTINCT split FROM scored WHERE split <> 'train'), (SELECT unnest(['market', 'priority']) AS s)
+  UNION ALL SELECT 'columns are there', NULL, 'region', false""")
+def segment_checks(spark, d):
+    return segments.segment_checks(*segmented(spark, d))
 
 
 @query("recalibration")

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators import binning, metrics, rules, scorecard
-from creditloom.operators.metrics import average_rank
+from creditloom.operators import binning, metrics, rules, scorecard, uncertainty
+from creditloom.operators.order_stats import with_average_ranks
 from creditloom.plans.frames import SCORED, scored
 from creditloom.plans.registry import query
 
@@ -62,7 +62,7 @@ def iv_report(spark, d):
 def chosen(spark, d):
     train, fits = scored(spark, d).where("split = 'train'"), fitted(spark, d)
     woes = scorecard.correlation_matrix(train, {f: b.woe_of(F.col(f)) for f, b in fits.items()})
-    ranked = train.withColumns({f"r_{f}": average_rank(f) for f in NUMERIC})
+    ranked = with_average_ranks(train, {f: f"r_{f}" for f in NUMERIC})
     raw = scorecard.correlation_matrix(ranked, {f: F.col(f"r_{f}") if f in NUMERIC else F.lit(0.0) for f in fits})
     return fits, scorecard.select_features({f: b.iv for f, b in fits.items()}, woes, raw, iv_min=0.0001)
 
@@ -121,8 +121,11 @@ CONCLUSION = [
     rules.Bound("slope", "slope", "note", low=0.9, high=1.1),
     rules.Bound("slope", "slope", "remediate", low=0.7, high=1.3),
     rules.Bound("slope", "slope_z", "note", high=3.0),
+    rules.Bound("validation_test_gap", "significant_gap", "note", start=1e-12),
+    rules.Bound("bad_rate_to_pd_ratio", "bad_rate_to_pd", "note", low=0.9, high=1.1),
     rules.Bound("flagged_bands", "flagged_bands", "note", start=3),
     rules.Bound("output_psi", "output_light", "note", start=1),
+    rules.Bound("output_psi", "output_light", "remediate", start=2),
     rules.Bound("feature_psi", "feature_light", "note", start=2),
     rules.Bound("sensitive_calibration", "flagged_groups", "note", start=1),
     rules.Bound("adverse_impact_ratio", "least_impact_ratio", "note", low=0.8),
@@ -131,21 +134,6 @@ CONCLUSION = [
 ]
 
 
-def segment_measures(rows, least=0.3):
-    """(model, split, dimension, grp, n, z, impact_ratio, auc) of the segments of scored rows and of all rows."""
-    grouped = {"(all)": F.lit("(all)"), "segment": F.col("segment")}
-    out = []
-    for dimension, group in grouped.items():
-        g = rows.withColumn("dimension", F.lit(dimension)).withColumn("grp", group)
-        by = ["model", "split", "dimension", "grp"]
-        variance = F.sum(F.col("pd") * (1 - F.col("pd")))
-        sums = g.groupBy(*by).agg(F.count("*").alias("n"), ((F.sum("y") - F.sum("pd")) / F.sqrt(variance)).alias("z"), F.avg((F.col("pd") < least).cast("double")).alias("passed"))
-        out.append(sums.join(metrics.discrimination(g, "risk", "y", by).select(*by, "auc"), by, "left"))
-    both = out[0].unionByName(out[1])
-    most = F.max(F.when(F.col("grp") != "(all)", F.col("passed"))).over(Window.partitionBy("model", "split"))
-    return both.withColumn("impact_ratio", F.when(F.col("grp") != "(all)", F.col("passed") / F.nullif(most, F.lit(0.0)))).drop("passed")
-
-
 def stability_measures(spark, d):
     """(model, kind, sample, segment, psi, light) of the scores and of a feature, test against training rows."""
     rows = scored(spark, d)
@@ -163,18 +151,18 @@ def stability_measures(spark, d):
 def conclusion_rules(spark, d):
     """The rules over the metrics of both models on the test rows, with verdicts."""
     from creditloom.plans.check_queries import population_checks
-    from creditloom.plans.metric_queries import models
+    from creditloom.plans.metric_queries import SAMPLES, drawn, models, segmented
 
+    resampled = drawn(spark, d)
     rows = models(scored(spark, d).where("split = 'test'"))
-    intervals = metrics.bootstrap_intervals(rows, "risk", "y", ["model", "split"], resamples=50)
     lo = rows.withColumn("lo", F.ln(F.col("pd") / (1 - F.col("pd"))))
     found = [(m, "test", metrics.recalibrate(lo.where(F.col("model") == m), "lo", "y")) for m in "ab"]
     calibration = spark.createDataFrame([(m, s, float(c["slope"]), float(c["slope_z_vs_1"])) for m, s, c in found], "model string, split string, slope double, slope_z_vs_1 double")
     ratios = rows.groupBy("model", "split").agg((F.sum("y") / F.sum("pd")).alias("ratio_bad_rate_to_pd"))
     bands = [metrics.reliability(rows.where(F.col("model") == m), "pd", "y", "id", 10).select(F.lit(m).alias("model"), F.lit("test").alias("split"), "flagged") for m in "ab"]
     checks = population_checks(spark, d).select(F.lit("population").alias("module"), "ok")
-    measured = rules.measures("test", intervals=intervals, calibration=calibration.join(ratios, ["model", "split"]), bands=bands[0].unionByName(bands[1]),
-        stability=stability_measures(spark, d), segments=segment_measures(rows), checks=checks)
+    measured = rules.measures("test", intervals=uncertainty.intervals(resampled, ["split"]), differences=uncertainty.differences(resampled, "split", [], [SAMPLES]),
+        calibration=calibration.join(ratios, ["model", "split"]), bands=bands[0].unionByName(bands[1]), stability=stability_measures(spark, d), segments=segmented(spark, d)[0], checks=checks, least_group=100)
     return rules.conclude(measured, CONCLUSION)
 
 

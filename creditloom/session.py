@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,17 @@ def ship(spark: SparkSession) -> None:
                 out.write(file, file.relative_to(top.parent))
         sc.addPyFile(archive)
         _shipped.add(sc.applicationId)
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a checkpoint in the folder of spark.checkpoint.dir.
+
+    Without that setting a local session gets a folder of its own; on a cluster, where such a folder could not be read
+    by others, it is an error."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint(eager=True)
