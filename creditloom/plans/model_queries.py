@@ -114,6 +114,25 @@ def gbt_challenger(spark, d):
     return spark.createDataFrame([(f, float(v), model.params, float(model.validation_ap)) for f, v in model.importances], "feature string, importance double, params string, validation_ap double")
 
 
+@query("gbt_trials")
+def gbt_trials(spark, d):
+    """The trials of the challenger, each with its best round, and which was selected."""
+    from creditloom.operators.challenger import fit_challenger
+
+    model = fit_challenger(scored(spark, d), NUMERIC, CATEGORICAL, "y", rounds=8, patience=3)
+    return spark.createDataFrame(model.log, "trial int, params string, best_round int, validation_ap double, selected boolean")
+
+
+@query("warning_challenger")
+def warning_challenger(spark, d):
+    """Scores of the early warnings' weighted challenger on the test rows."""
+    from creditloom.operators.challenger import fit_challenger
+
+    rows = warning_rows(spark, d)
+    model = fit_challenger(rows, ["risk_a", "amount"], ["segment", "priority"], "y", grid=[{"depth": 3, "step": 0.3}], rounds=8, patience=3, weight="w")
+    return model.predict(rows.where("split = 'test'")).select("id", "period", "y", F.round("pd", 9).alias("pd"))
+
+
 CONCLUSION = [
     rules.Bound("blocking_checks", "failed_checks", "remediate", start=1),
     rules.Bound("auc_ci_lower", "auc_ci_low", "note", low=0.65),
@@ -232,7 +251,7 @@ def gbt_contributions(spark, d):
     """Additive contributions of the boosted trees on the test rows, and how far they are from the margin (nothing)."""
     from creditloom.operators.challenger import contributions, fit_challenger
 
-    model = fit_challenger(scored(spark, d), NUMERIC, CATEGORICAL, "y", grid=((2, 5),))
+    model = fit_challenger(scored(spark, d), NUMERIC, CATEGORICAL, "y", grid=[{"depth": 2}], rounds=5)
     names = [*NUMERIC, *CATEGORICAL]
     out = contributions(model, scored(spark, d).where("split = 'test'"), names)
     gap = F.abs(F.col("margin") - F.col("bias") - sum((F.col(f"contribution_{n}") for n in names), F.lit(0.0)))
