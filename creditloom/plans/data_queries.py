@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import band, count_if, exact_avg, exact_sum, is_sentinel, missing_pattern, month, ratio, segment_of, sentinel_to_null, status_bucket, exit_type, valid_end, vintage
-from creditloom.operators import checks, history, panel, sampling
+from creditloom.operators import checks, history, joins, panel, sampling
 from creditloom.plans.frames import SCORED, USER_DAYS, read, scored, user_days
 from creditloom.plans.panel_queries import FLAGGED, flagged_days
 from creditloom.plans.registry import query
+from creditloom.session import saved
 from creditloom.sources.contracts import parse_contract
 
 R = 8
@@ -208,10 +209,13 @@ def stratified_split(spark, d):
 
 @query("split_summary", f"WITH {SCORED}, {_SPLIT} SELECT split, count(*)::BIGINT AS n, round(avg(y), {R}) AS bad_rate, round(count(*) / sum(count(*)) OVER (), {R}) AS share FROM split GROUP BY split")
 def split_summary(spark, d):
-    s = sampling.stratified_split(scored(spark, d).drop("split"), "id", ["y"], _SHARES, 11)
-    sums = s.groupBy("split").agg(F.count("*").alias("n"), F.round(F.avg("y"), R).alias("bad_rate"))
-    total = sums.agg(F.sum("n").alias("total"))
-    return sums.crossJoin(F.broadcast(total)).select("split", "n", "bad_rate", F.round(F.col("n") / F.col("total"), R).alias("share"))  # total has one row
+    """The split joined to its population one to one: a key that is missing or repeated on a side is an error."""
+    population = scored(spark, d).drop("split")
+    split = sampling.stratified_split(population, "id", ["y"], _SHARES, 11).select("id", "split")
+    both, guard = joins.complete_join({"split": split, "population": population.select("id", "y")}, ["id"], "split_summary")
+    sums = saved(both.groupBy("split").agg(F.count("*").alias("n"), F.round(F.avg("y"), R).alias("bad_rate")))
+    total = guard.verify()["rows"]
+    return sums.select("split", "n", "bad_rate", F.round(F.col("n") / F.lit(total), R).alias("share"))
 
 
 @query("split_fingerprint", f"""WITH {SCORED}, {_SPLIT}, h AS (SELECT md5(id || ':' || split) AS m FROM split)

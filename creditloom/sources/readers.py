@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditloom.sources import publish
 from creditloom.sources.contracts import ColumnSpec, DTYPES, SourceContract, TableSpec
 
 
+class RawDataError(ValueError):
+    """Raw files are missing or are not what the contract says."""
+
+
 def typed(spec: ColumnSpec, raw: Column) -> Column:
     """Trimmed, null tokens as null, strictly cast: a value that is not of the type fails the run."""
     text = F.trim(raw)
@@ -21,14 +27,25 @@ def typed(spec: ColumnSpec, raw: Column) -> Column:
     return text.cast(DTYPES[spec.dtype])
 
 
-def check_field_count(spark: SparkSession, path: str, spec: TableSpec, delimiter: str = "|") -> None:
-    """Stop where a file's first line has another number of fields than the contract."""
-    firsts = spark.read.text(path, wholetext=False).withColumn("f", F.col("_metadata.file_name")).withColumn("at", F.col("_metadata.file_block_start"))
-    # the line with the lowest offset of each file: Spark reads a file's first block from its start
-    sizes = firsts.where("at = 0").groupBy("f").agg(F.first("value").alias("v"))
-    wrong = sizes.where(F.size(F.split("v", "\\" + delimiter)) != len(spec.columns)).limit(5).collect()
-    if wrong:
-        raise ValueError(f"{spec.name}: {[r.f for r in wrong]} do not have {len(spec.columns)} fields")
+def raw_files(spark: SparkSession, spec: TableSpec, folder: str) -> list[dict[str, Any]]:
+    """The raw files of a table, by name; a table without any stops the run."""
+    found = publish.files(spark, f"{folder}/{spec.files or spec.name}")
+    if not found:
+        found = publish.files(spark, f"{folder}/{spec.files or spec.name}/*")
+    if not found:
+        raise RawDataError(f"{spec.name}: no raw files at {folder}/{spec.files or spec.name}")
+    return found
+
+
+def check_field_count(spark: SparkSession, spec: TableSpec, files: Sequence[Mapping[str, Any]], delimiter: str = "|") -> None:
+    """Stop where a file is empty or its first line has another number of fields than the contract; only that is read."""
+    for file in files:
+        line = publish.first_line(spark, file["path"])
+        if not line:
+            raise RawDataError(f"{spec.name}: {file['name']} is empty")
+        fields = len(line.split(delimiter))
+        if fields != len(spec.columns):
+            raise RawDataError(f"{spec.name}: {file['name']} has {fields} fields, the contract {len(spec.columns)}")
 
 
 def read_table(spark: SparkSession, contract: SourceContract, name: str, folder: str) -> DataFrame:
@@ -60,5 +77,15 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> in
 
 
 def ingest(spark: SparkSession, contract: SourceContract, folder: str, out: str) -> Mapping[str, int]:
-    """Every table of a source, read by contract and written as parquet; rows by table."""
-    return {name: write_table(read_table(spark, contract, name, folder), f"{out}/{name}") for name in contract.tables}
+    """Every table of a source, read by contract and published as parquet with a manifest of its raw files; rows by table.
+
+    All tables' files are looked at before the first is read."""
+    raw = {name: raw_files(spark, spec, folder) for name, spec in contract.tables.items()}
+    if contract.format not in ("parquet", "csv"):
+        for name, spec in contract.tables.items():
+            check_field_count(spark, spec, raw[name])
+    rows = {}
+    for name in contract.tables:
+        details = {"raw_files": [{k: f[k] for k in ("name", "bytes", "modified_ms")} for f in raw[name]]}
+        rows[name] = publish.publish(read_table(spark, contract, name, folder), f"{out}/{name}", f"ingest {name}", details=details)["rows"]
+    return rows

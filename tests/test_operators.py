@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import binning, checks, labels, metrics, rules, sampling, scorecard, survival
-from creditloom.sources import contracts, readers
+from creditloom.sources import contracts, publish, readers
 
 
 def months(spark, states, start=2019):
@@ -146,13 +146,13 @@ def test_pipe_files_round_trip(spark, tmp_path):
     (tmp_path / "p" / "x.txt").write_text("F19Q1|201903| 7 \nF19Q2|201904|NA\n")
     spec = {"name": "s", "format": "pipe", "tables": {"p": {"columns": {"id": {}, "m": {"dtype": "yyyymm"}, "n": {"dtype": "integer", "na_values": ["NA"]}}}}}
     c = contracts.parse_contract(spec)
-    readers.check_field_count(spark, str(tmp_path / "p"), c.tables["p"])
+    readers.check_field_count(spark, c.tables["p"], readers.raw_files(spark, c.tables["p"], str(tmp_path)))
     assert readers.ingest(spark, c, str(tmp_path), str(tmp_path / "out")) == {"p": 2}
-    rows = spark.read.parquet(str(tmp_path / "out" / "p")).orderBy("id").collect()
+    rows = publish.load(spark, str(tmp_path / "out" / "p")).orderBy("id").collect()
     assert [(r.m, r.n, r.source_file) for r in rows] == [(date(2019, 3, 1), 7, "x.txt"), (date(2019, 4, 1), None, "x.txt")]
     (tmp_path / "p" / "y.txt").write_text("only|two\n")
     with pytest.raises(ValueError):
-        readers.check_field_count(spark, str(tmp_path / "p"), c.tables["p"])
+        readers.check_field_count(spark, c.tables["p"], readers.raw_files(spark, c.tables["p"], str(tmp_path)))
 
 
 def test_strict_casts(spark):
