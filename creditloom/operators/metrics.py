@@ -29,8 +29,8 @@ def discrimination(rows: DataFrame, score: str, y: str, by: Sequence[str] = ())
 
 def discrimination_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """:func:`discrimination` from counts (by, s, bad, good), one row a score."""
-    c = running(counts, {"cb": "bad", "cg": "good"}, ["s"], by).withColumnsRenamed({"cb_all": "B", "cg_all": "G"})
-    gap = F.abs(ratio("cg", "G") - ratio("cb", "B"))
+    c = running(counts, {"cb": "bad", "cg": "good"}, ["s"], by)
+    gap = F.abs(ratio("cg", "cg_all") - ratio("cb", "cb_all"))
     c = c.withColumn("gap", F.round(gap, 12))
     pairs = F.col("bad") * (F.col("cg") - F.col("good") + F.col("good") / 2)
     out = c.groupBy(*by).agg(
@@ -51,8 +51,8 @@ def ks_location(rows: DataFrame, score: str, y: str, threshold: float | Column)
 
 def average_precision(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the precision-recall steps; equal scores enter together."""
-    c = running(score_counts(rows, score, y, by), {"tp": "bad", "n": F.col("bad") + F.col("good")}, [F.desc("s")], by).withColumnRenamed("tp_all", "B")
-    return c.groupBy(*by).agg(F.sum(ratio("bad", "B") * ratio("tp", "n")).alias("average_precision"))
+    c = running(score_counts(rows, score, y, by), {"tp": "bad", "n": F.col("bad") + F.col("good")}, [F.desc("s")], by)
+    return c.groupBy(*by).agg(F.sum(ratio("bad", "tp_all") * ratio("tp", "n")).alias("average_precision"))
 
 
 def brier(p: str, y: str) -> Column:

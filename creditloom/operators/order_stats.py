@@ -83,11 +83,11 @@ def spearman(rows: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFra
     """Rank correlation, ties sharing their mean rank, over rows that have both values; from counts of pairs of values."""
     pairs = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*by, a, b).agg(F.count("*").alias("_n"))
     out = pairs
-    for value, name in ((a, "_ra"), (b, "_rb")):
+    for value, name in ((a, "__rank_a"), (b, "__rank_b")):
         counts = pairs.groupBy(*by, F.col(value).alias("_v")).agg(F.sum("_n").alias("_c"))
         ranks = running(counts, {"upto": "_c"}, ["_v"], by).select(*(F.col(k).alias(f"_{k}") for k in by), F.col("_v").alias(f"_{value}"), (F.col("upto") - (F.col("_c") - 1) / 2).alias(name))
         out = out.join(ranks, same(out, ranks, [*by, value])).drop(*(f"_{k}" for k in by), f"_{value}")
-    n, x, y = F.col("_n"), F.col("_ra"), F.col("_rb")
+    n, x, y = F.col("_n"), F.col("__rank_a"), F.col("__rank_b")
     # ranks about their mean keep the sums small
     total = out.groupBy(*by).agg(F.sum("_n").alias("_rows"))
     total = total.select(*(F.col(k).alias(f"_{k}") for k in by), ((F.col("_rows") + 1) / 2).alias("_mid"))

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.operators.order_stats import numbered, same
+
 
 def hash_unit(*parts: Column, seed: int, scale: int = 1_000_000) -> Column:
     """A number 0..scale-1 from the md5 of the parts and a seed: the same on every engine."""
@@ -32,9 +34,8 @@ def apportion(n: int, shares: Mapping[str, float]) -> dict[str, int]:
 
 def stratified_split(rows: DataFrame, key: str, strata: Sequence[str], shares: Mapping[str, float], seed: int) -> DataFrame:
     """Split of each row: in each stratum, rows in hashed order fill the splits' quotas (largest remainders)."""
-    w = Window.partitionBy(*strata)
-    place = F.row_number().over(w.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key))
-    n = F.count("*").over(w)
+    rows = numbered(rows, [F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key], strata)
+    place, n = F.col("place"), F.col("place_all")
     names = list(shares)
     floors = [F.floor(n * shares[k] + 1e-9) for k in names]
     left = n - sum(floors[1:], floors[0])
@@ -47,7 +48,7 @@ def stratified_split(rows: DataFrame, key: str, strata: Sequence[str], shares: M
         bounds.append(upto)
     for name, bound in reversed(list(zip(names[:-1], bounds[:-1], strict=True))):
         out = F.when(place <= bound, name).otherwise(out)
-    return rows.withColumn("split", out)
+    return rows.withColumn("split", out).drop("place", "place_all")
 
 
 def split_fingerprint(rows: DataFrame, key: str, split: str) -> DataFrame:
@@ -61,3 +62,29 @@ def sample_ids(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n distinct keys, the first in hashed order."""
     ids = rows.select(key).distinct()
     return ids.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
+
+
+BUCKETS = 4096
+
+
+def quota_sample(rows: DataFrame, key: str, strata: Sequence[str], n: int, seed: int) -> DataFrame:
+    """About ``n`` rows without replacement: each stratum's share of them by its size, rounded, and one row at least.
+
+    The rows of a stratum with the smallest hashes of their key are taken. Counts by hash bucket, of which a stratum has
+    BUCKETS, give the bucket in which its quota ends; only the rows of that bucket are put in order. The same rows come
+    from any partitioning. Null strata are strata."""
+    if n < 1:
+        raise ValueError("a sample has a row at least")
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    hashed = rows.withColumn("_h", h).withColumn("_bucket", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    counts = hashed.groupBy(*strata, "_bucket").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(*strata)
+    total = counts.agg(F.sum("_n").alias("_all"))
+    sized = counts.withColumn("_size", F.sum("_n").over(whole)).withColumn("_upto", F.sum("_n").over(whole.orderBy("_bucket"))).crossJoin(F.broadcast(total))  # one row
+    quota = F.least(F.col("_size"), F.greatest(F.lit(1), F.floor(F.col("_size") / F.col("_all") * n + 0.5)))
+    ends = sized.withColumn("_quota", quota).where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
+    ends = ends.select(*(F.col(k).alias(f"_{k}") for k in strata), F.col("_bucket").alias("_last"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rest"))
+    near = hashed.join(ends, same(hashed, ends, strata)).where(F.col("_bucket") <= F.col("_last"))
+    inside = near.where(F.col("_bucket") < F.col("_last")).select(*rows.columns)
+    border = numbered(near.where(F.col("_bucket") == F.col("_last")), ["_h", key], strata).where(F.col("place") <= F.col("_rest"))
+    return inside.unionByName(border.select(*rows.columns))

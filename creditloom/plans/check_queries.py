@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.exprs import count_if
-from creditloom.operators import labels, metrics
+from creditloom.operators import figures, labels, metrics, sampling
 from creditloom.operators.checks import check_row, check_rows
 from creditloom.plans.frames import SCORED, customer_months, read, scored, user_days
-from creditloom.plans.metric_queries import RANKED
+from creditloom.plans.metric_queries import _FIGURES, RANKED, models
 from creditloom.plans.panel_queries import BANDED, CURVES, LABELLED, USER_DAYS, curves, labelled, loans, segments, survival_loans
 from creditloom.plans.panel_queries import survival_tables as survival
 from creditloom.plans.registry import query
@@ -124,3 +124,82 @@ def population_checks(spark, d):
     by = rows.groupBy("split").agg(F.count("*").alias("k")).agg(F.sum("k").alias("by_split"))
     c = F.col
     return check_rows(one(own, raw, by), check_row("rows", c("n"), c("raw"), "orders", 1e-6), check_row("distinct ids", c("n"), c("ids"), "scored", 1e-6), check_row("bads", c("bads"), c("raw_bads"), "orders", 1e-6), check_row("rows by split", c("n"), c("by_split"), "scored", 1e-6))
+
+
+R = 8
+
+
+def held(spark, d):
+    """Both models' validation and test rows."""
+    return models(scored(spark, d)).where("split <> 'train'")
+
+
+_HELD = f"""{_FIGURES}, ca AS (SELECT model, split, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS bads, avg(pd) AS mean_pd, avg(y) AS bad_rate, avg((pd - y) * (pd - y)) AS brier FROM mo WHERE split <> 'train' GROUP BY ALL)"""
+
+
+@query("published_figures", f"""WITH {SCORED}, {_HELD}, pf AS (
+    SELECT 'discrimination' AS module, model || '/' || split || '/' || metric AS key, value AS published, CASE WHEN metric = 'ks' THEN NULL ELSE value END AS recomputed FROM f WHERE metric <> 'brier'
+    UNION ALL SELECT 'calibration', model || '/' || split || '/' || u.n, u.v, CASE WHEN u.n IN ('n', 'bads', 'mean_pd') THEN u.v END FROM (SELECT model, split, unnest([{{'n': 'n', 'v': n}}, {{'n': 'bads', 'v': bads}}, {{'n': 'mean_pd', 'v': mean_pd}}, {{'n': 'bad_rate', 'v': bad_rate}}, {{'n': 'brier', 'v': brier}}]) AS u FROM ca))
+  SELECT module, key, round(published, {R}) AS published, round(recomputed, {R}) AS recomputed, CASE WHEN recomputed IS NULL THEN 'not recomputed' ELSE '' END AS problem, recomputed IS NOT NULL AS ok FROM pf""")
+def published_figures(spark, d):
+    """The figures of two modules against those found in a second way: AUC and Gini by ranks, sizes, bads and mean PD by the
+    reliability bands. What has no second way is reported as such."""
+    rows, by = held(spark, d), ["model", "split"]
+    published = figures.discrimination_figures(rows, "risk", "y", by).unionByName(figures.calibration_figures(rows, "pd", "y", by))
+    again = [figures.discrimination_identities(rows, "risk", "y", by)]
+    again += [figures.band_totals(rows.where((F.col("model") == m) & (F.col("split") == s)), "pd", "y", "id", 10, {"model": m, "split": s}) for m in "ab" for s in ("validation", "test")]
+    found = figures.compare(published, reduce(DataFrame.unionByName, again), {"discrimination": 1e-9, "calibration": 1e-6})
+    return found.select("module", "key", F.round("published", R).alias("published"), F.round("recomputed", R).alias("recomputed"), "problem", "ok")
+
+
+_TEST = "te AS (SELECT *, row_number() OVER (ORDER BY risk_a DESC, id) AS pa, row_number() OVER (ORDER BY risk_b DESC, id) AS pb, count(*) OVER () AS n, rank() OVER (ORDER BY risk_a) + (count(*) OVER (PARTITION BY risk_a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY risk_b) + (count(*) OVER (PARTITION BY risk_b) - 1) / 2.0 AS rb FROM scored WHERE split = 'test'), k AS (SELECT ceil(0.1 * count(*) - 1e-9) AS k, count(*) FILTER (pd_a >= 0.5) AS qa, count(*) FILTER (pd_b >= 0.5) AS qb FROM te)"
+
+
+@query("head_to_head", f"""WITH {SCORED}, {_TEST}, r AS (
+    SELECT 'agreement' AS module, 'spearman' AS key, corr(ra, rb) AS value FROM te
+    UNION ALL SELECT 'agreement', 'top_overlap', (count(*) FILTER (pa <= k AND pb <= k))::DOUBLE / count(*) FILTER (pa <= k) FROM te, k
+    UNION ALL SELECT 'agreement', 'bad_rate_only_first_top', avg(y) FILTER (pa <= k AND pb > k) FROM te, k UNION ALL SELECT 'agreement', 'bad_rate_only_second_top', avg(y) FILTER (pb <= k AND pa > k) FROM te, k
+    UNION ALL SELECT 'swap_set', c || '/' || u.n, u.v FROM (SELECT c, unnest([{{'n': 'n', 'v': count(*)::DOUBLE}}, {{'n': 'bads', 'v': sum(y)::DOUBLE}}]) AS u FROM (SELECT y, CASE WHEN pd_a >= 0.5 AND pd_b >= 0.5 THEN 'both reject' WHEN pd_a >= 0.5 THEN 'only first rejects' WHEN pd_b >= 0.5 THEN 'only second rejects' ELSE 'both accept' END AS c FROM te) GROUP BY c)
+    UNION ALL SELECT 'decisions', 'rejects_first', qa FROM k UNION ALL SELECT 'decisions', 'rejects_second', qb FROM k
+    UNION ALL SELECT 'equal_volume', 'bads_second_at_first_volume', sum(y) FILTER (pb <= qa) FROM te, k UNION ALL SELECT 'equal_volume', 'bads_first_at_second_volume', sum(y) FILTER (pa <= qb) FROM te, k)
+  SELECT module, key, round(value, {R}) AS value FROM r""")
+def head_to_head(spark, d):
+    rows = scored(spark, d).where("split = 'test'")
+    return figures.head_to_head(rows, ("risk_a", "risk_b"), ("pd_a", "pd_b"), "y", "id", 0.5).select("module", "key", F.round("value", R).alias("value"))
+
+
+@query("comparison_checks", f"""WITH {SCORED}, t AS (SELECT count(*)::DOUBLE AS n, (count(*) FILTER (pd_a >= 0.5))::DOUBLE AS a, (count(*) FILTER (pd_b >= 0.5))::DOUBLE AS b FROM scored WHERE split = 'test')
+  SELECT 'comparison' AS module, u.k AS key, u.v AS published, u.v AS recomputed, '' AS problem, true AS ok FROM (SELECT unnest([{{'k': 'rows', 'v': n}}, {{'k': 'rejects_first', 'v': a}}, {{'k': 'rejects_second', 'v': b}}]) AS u FROM t)""")
+def comparison_checks(spark, d):
+    """The cells of the swap set against the rows and against each model's decisions."""
+    rows = scored(spark, d).where("split = 'test'")
+    sides = figures.comparison_identities(figures.head_to_head(rows, ("risk_a", "risk_b"), ("pd_a", "pd_b"), "y", "id", 0.5), rows.count())
+    side = lambda name: sides.where(F.col("side") == name).drop("side")
+    return figures.compare(side("published"), side("recomputed"))
+
+
+@query("side_by_side", f"""WITH {SCORED}, {_HELD} SELECT g.model AS model, ca.n::BIGINT AS n, ca.bads::BIGINT AS bads, round(g.auc, {R}) AS auc, round(2 * g.auc - 1, {R}) AS gini, round(g.ks, {R}) AS ks, round(ca.brier, {R}) AS brier, round(ca.bads / (ca.n * ca.mean_pd), {R}) AS ratio_bad_rate_to_pd, true AS auc_inside
+  FROM fig g JOIN ca ON g.model = ca.model AND g.split = ca.split WHERE g.split = 'test'""")
+def side_by_side(spark, d):
+    """Both models on the test rows, from the tables of all modules."""
+    from creditloom.operators import uncertainty
+    from creditloom.plans.metric_queries import drawn, segmented
+    from creditloom.plans.model_queries import stability_measures
+
+    rows = held(spark, d).where("split = 'test'")
+    by = ["model", "split"]
+    sums = rows.groupBy(*by).agg(metrics.brier("pd", "y").alias("brier"), (F.sum("y") / F.sum("pd")).alias("ratio_bad_rate_to_pd"))
+    lo = rows.withColumn("lo", F.ln(F.col("pd") / (1 - F.col("pd"))))
+    fits = [(m, "test", float(metrics.recalibrate(lo.where(F.col("model") == m), "lo", "y")["slope"])) for m in "ab"]
+    bands = [metrics.reliability(rows.where(F.col("model") == m), "pd", "y", "id", 10).agg(count_if(F.col("flagged")).alias("flagged_bands")).withColumn("model", F.lit(m)) for m in "ab"]
+    calibration = sums.join(spark.createDataFrame(fits, "model string, split string, slope double"), by).join(bands[0].unionByName(bands[1]), "model")
+    out = figures.side_by_side(metrics.discrimination(rows, "risk", "y", by), uncertainty.intervals(drawn(spark, d), ["split"]), calibration, stability_measures(spark, d), segmented(spark, d)[0], "test")
+    rounded = [F.round(c, R).alias(c) for c in ("auc", "gini", "ks", "brier", "ratio_bad_rate_to_pd")]
+    return out.select("model", "n", "bads", *rounded, F.col("auc").between(F.col("auc_ci_low"), F.col("auc_ci_high")).alias("auc_inside"))
+
+
+@query("quota_sample", f"""WITH {SCORED}, h AS (SELECT *, md5(id || ':23') AS h FROM scored), q AS (SELECT id, split, segment, row_number() OVER (PARTITION BY split, segment ORDER BY h, id) AS place, count(*) OVER (PARTITION BY split, segment) AS size, count(*) OVER () AS n FROM h)
+  SELECT id, split, segment FROM q WHERE place <= least(size, greatest(1, floor(size::DOUBLE / n * 200 + 0.5)))""")
+def quota_sample(spark, d):
+    """Some 200 rows, by split and segment, one of each at least."""
+    return sampling.quota_sample(scored(spark, d), "id", ["split", "segment"], 200, 23).select("id", "split", "segment")
