@@ -91,7 +91,7 @@ def equal_count_bands(rows: DataFrame, value: str, key: str, bands: int) -> Data
 
 def reliability(rows: DataFrame, p: str, y: str, key: str, bands: int, z_limit: float = 1.96) -> DataFrame:
     """Observed against expected by band, with a z-score and a flag."""
-    banded = equal_count_bands(rows, p, key, bands).groupBy("band").agg(F.count("*").alias("n"), F.sum(y).alias("observed"), F.sum(p).alias("expected"), F.sum(F.col(p) * (1 - F.col(p))).alias("variance"))
+    banded = equal_count_bands(rows.select(p, y, key), p, key, bands).groupBy("band").agg(F.count("*").alias("n"), F.sum(y).alias("observed"), F.sum(p).alias("expected"), F.sum(F.col(p) * (1 - F.col(p))).alias("variance"))
     z = (F.col("observed") - F.col("expected")) / F.sqrt(F.nullif("variance", F.lit(0.0)))
     return banded.withColumn("z", z).withColumn("flagged", F.abs(z) > z_limit)
 

@@ -84,13 +84,13 @@ RANKED = f"{SCORED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY period
 @query("monthly_capture", f"""WITH {RANKED}, t AS (SELECT period, count(*)::BIGINT AS rows, (count(*) FILTER (listed))::BIGINT AS listed, sum(y)::BIGINT AS events, coalesce(sum(y) FILTER (listed), 0)::BIGINT AS hits FROM lst GROUP BY period)
   SELECT *, round(hits / nullif(events, 0), {R}) AS capture, round(hits / listed, {R}) AS precision, round((hits / listed) / nullif(events / rows, 0), {R}) AS lift FROM t""")
 def monthly_capture(spark, d):
-    ranked = metrics.monthly_rank(scored(spark, d), "risk_a", "period", "id")
+    ranked = metrics.monthly_rank(scored(spark, d).select("id", "period", "risk_a", "y"), "risk_a", "period", "id")
     return metrics.list_performance(ranked, "y", 0.05, ["period"]).select("period", "rows", "listed", "events", "hits", *_r("capture", "precision", "lift"))
 
 
 @query("monthly_list", f"WITH {RANKED} SELECT period, id, place::INTEGER AS place FROM lst WHERE listed")
 def monthly_list(spark, d):
-    ranked = metrics.monthly_rank(scored(spark, d), "risk_a", "period", "id")
+    ranked = metrics.monthly_rank(scored(spark, d).select("id", "period", "risk_a", "y"), "risk_a", "period", "id")
     return ranked.where(metrics.top_share(0.05)).select("period", "id", "place")
 
 
@@ -191,7 +191,7 @@ def equal_volume(spark, d):
     """Reject as many by the other model's order: a count, then the rows up to that place."""
     rows = scored(spark, d)
     k = rows.where("pd_a >= 0.5").count()
-    return order_stats.numbered(rows, [F.desc("pd_b"), "id"]).where(F.col("place") <= k).agg(F.count("*").alias("rejected"), F.sum("y").alias("bads"))
+    return order_stats.numbered(rows.select("id", "pd_b", "y"), [F.desc("pd_b"), "id"]).where(F.col("place") <= k).agg(F.count("*").alias("rejected"), F.sum("y").alias("bads"))
 
 
 @query("overlap_topk", f"""WITH {SCORED}, n AS (SELECT ceil(0.1 * count(*) - 1e-9)::BIGINT AS k FROM scored), a AS (SELECT id FROM scored ORDER BY risk_a DESC, id LIMIT (SELECT k FROM n)), b AS (SELECT id FROM scored ORDER BY risk_b DESC, id LIMIT (SELECT k FROM n))
@@ -199,7 +199,7 @@ def equal_volume(spark, d):
 def overlap_topk(spark, d):
     rows = scored(spark, d)
     k = -(-rows.count() // 10)
-    top = [order_stats.numbered(rows, [F.desc(c), "id"]).where(F.col("place") <= k).select("id") for c in ("risk_a", "risk_b")]
+    top = [order_stats.numbered(rows.select("id", c), [F.desc(c), "id"]).where(F.col("place") <= k).select("id") for c in ("risk_a", "risk_b")]
     return top[0].join(top[1], "id").agg(F.lit(k).cast("long").alias("k"), F.count("*").alias("shared"))
 
 
@@ -308,7 +308,7 @@ def spread_examples(spark, d):
     rows = scored(spark, d).where("split = 'test'")
     last = F.col("place_all") - 1
     places = F.array(*(F.floor(i * last / 4) for i in range(5)))
-    return order_stats.numbered(rows, ["pd_a", "id"]).where(F.array_contains(places, F.col("place") - 1)).select("id", *_r("pd_a"))
+    return order_stats.numbered(rows.select("id", "pd_a"), ["pd_a", "id"]).where(F.array_contains(places, F.col("place") - 1)).select("id", *_r("pd_a"))
 
 
 MODELS = {m: (f"risk_{m}", f"pd_{m}") for m in "ab"}
