@@ -9,7 +9,7 @@ from creditloom.operators.rules import Availability
 from creditloom.plans.frames import read
 from creditloom.plans.registry import query
 
-R = 6
+R, SUMS = 9, 6  # decimals: no mean, share or sum of these tables ends in a 5 right behind them
 
 
 def _days(date: str) -> str:
@@ -45,7 +45,7 @@ STAND_INS = {
         "SK_ID_CURR": "o_custkey", "SK_ID_PREV": "l_orderkey", "MONTHS_BALANCE": "-(l_linenumber * 4)", "SK_DPD": _LATE, "CNT_INSTALMENT_FUTURE": "case when l_partkey % 8 <> 0 then l_quantity end", "NAME_CONTRACT_STATUS": "case l_linestatus when 'O' then 'Active' else 'Completed' end",
     }),
     "credit_card_balance": ("lines", {
-        "SK_ID_CURR": "o_custkey", "SK_ID_PREV": "l_suppkey % 9", "MONTHS_BALANCE": "-(l_linenumber * 5)", "SK_DPD": _LATE, "AMT_BALANCE": "l_extendedprice", "AMT_CREDIT_LIMIT_ACTUAL": "case when l_suppkey % 5 = 0 then 0 else 1000 * (1 + l_suppkey % 50) end",
+        "SK_ID_CURR": "o_custkey", "SK_ID_PREV": "l_suppkey % 9", "MONTHS_BALANCE": "-(l_linenumber * 5)", "SK_DPD": _LATE, "AMT_BALANCE": "l_extendedprice", "AMT_CREDIT_LIMIT_ACTUAL": "case when l_suppkey % 5 = 0 then 0 else 997 * (1 + l_suppkey % 50) end",
         "AMT_DRAWINGS_ATM_CURRENT": "case when l_partkey % 3 = 0 then l_quantity * 10 end", "AMT_PAYMENT_CURRENT": "l_extendedprice * l_discount", "AMT_INST_MIN_REGULARITY": "l_quantity * (l_partkey % 4)",
     }),
     "installments_payments": ("lines", {
@@ -66,7 +66,7 @@ def table(spark, d, name):
 
 
 def rounded(df):
-    return df.withColumns({c: F.round(c, R) for c, kind in df.dtypes if kind == "double"})
+    return df.withColumns({c: F.round(c, SUMS if c.endswith("_SUM") else R) for c, kind in df.dtypes if kind == "double"})
 
 
 def populations(spark, d):
@@ -99,14 +99,14 @@ def _count(condition: str) -> str:
 SQL = {
     "bureau": f"""SELECT SK_ID_CURR, count(*)::BIGINT AS BUR_COUNT, {_count("CREDIT_ACTIVE = 'Active'")} AS BUR_ACTIVE_COUNT, {_rate("CREDIT_ACTIVE = 'Active'")} AS BUR_ACTIVE_RATE, {_count("DAYS_CREDIT >= -365")} AS BUR_COUNT_12M,
   count(DISTINCT CREDIT_TYPE)::BIGINT AS BUR_CREDIT_TYPES, max(DAYS_CREDIT)::BIGINT AS BUR_DAYS_CREDIT_MAX, min(DAYS_CREDIT)::BIGINT AS BUR_DAYS_CREDIT_MIN, {_avg("DAYS_CREDIT")} AS BUR_DAYS_CREDIT_MEAN,
-  (max(DAYS_ENDDATE_FACT) FILTER (DAYS_ENDDATE_FACT >= DAYS_CREDIT))::BIGINT AS BUR_DAYS_ENDDATE_FACT_MAX, round({_sum("AMT_CREDIT_SUM")}, {R}) AS BUR_AMT_SUM, round(max(AMT_CREDIT_SUM), {R}) AS BUR_AMT_MAX, round({_sum("AMT_CREDIT_SUM_DEBT")}, {R}) AS BUR_DEBT_SUM,
-  round({_sum("AMT_CREDIT_SUM_DEBT")} / nullif({_sum("AMT_CREDIT_SUM")}, 0), {R}) AS BUR_DEBT_TO_CREDIT, round({_sum("AMT_CREDIT_SUM_OVERDUE")}, {R}) AS BUR_OVERDUE_SUM, round(max(AMT_CREDIT_MAX_OVERDUE), {R}) AS BUR_MAX_OVERDUE,
+  (max(DAYS_ENDDATE_FACT) FILTER (DAYS_ENDDATE_FACT >= DAYS_CREDIT))::BIGINT AS BUR_DAYS_ENDDATE_FACT_MAX, round({_sum("AMT_CREDIT_SUM")}, {SUMS}) AS BUR_AMT_SUM, round(max(AMT_CREDIT_SUM), {R}) AS BUR_AMT_MAX, round({_sum("AMT_CREDIT_SUM_DEBT")}, {SUMS}) AS BUR_DEBT_SUM,
+  round({_sum("AMT_CREDIT_SUM_DEBT")} / nullif({_sum("AMT_CREDIT_SUM")}, 0), {R}) AS BUR_DEBT_TO_CREDIT, round({_sum("AMT_CREDIT_SUM_OVERDUE")}, {SUMS}) AS BUR_OVERDUE_SUM, round(max(AMT_CREDIT_MAX_OVERDUE), {R}) AS BUR_MAX_OVERDUE,
   max(CREDIT_DAY_OVERDUE)::BIGINT AS BUR_DAY_OVERDUE_MAX, {_rate("CREDIT_DAY_OVERDUE > 0")} AS BUR_OVERDUE_RATE, sum(CNT_CREDIT_PROLONG)::BIGINT AS BUR_PROLONG_SUM FROM t_bureau WHERE DAYS_CREDIT_UPDATE <= 0 GROUP BY 1""",
     "bureau_balance": f"""SELECT SK_ID_CURR, count(*)::BIGINT AS BB_MONTHS, max(level) AS BB_DPD_LEVEL_MAX, {_rate("level > 0")} AS BB_DPD_MONTH_RATE, {_count("level > 0")} AS BB_DPD_MONTHS, {_count("level > 0 AND MONTHS_BALANCE >= -12")} AS BB_DPD_MONTHS_12M,
   {_rate("STATUS = 'C'")} AS BB_CLOSED_RATE, {_rate("STATUS = 'X'")} AS BB_UNKNOWN_RATE FROM (SELECT *, TRY_CAST(STATUS AS INTEGER) AS level FROM t_bureau_balance) m JOIN (SELECT SK_ID_BUREAU, SK_ID_CURR FROM t_bureau WHERE DAYS_CREDIT_UPDATE <= 0) b USING (SK_ID_BUREAU) GROUP BY 1""",
     "previous_application": f"""SELECT SK_ID_CURR, count(*)::BIGINT AS PREV_COUNT, {_count("DAYS_DECISION >= -365")} AS PREV_COUNT_12M, {_rate("NAME_CONTRACT_STATUS = 'Approved'")} AS PREV_APPROVED_RATE, {_rate("NAME_CONTRACT_STATUS = 'Refused'")} AS PREV_REFUSED_RATE,
   {_rate("NAME_CONTRACT_STATUS = 'Canceled'")} AS PREV_CANCELED_RATE, max(DAYS_DECISION)::BIGINT AS PREV_DAYS_DECISION_MAX, min(DAYS_DECISION)::BIGINT AS PREV_DAYS_DECISION_MIN, {_avg("AMT_CREDIT")} AS PREV_AMT_CREDIT_MEAN,
-  round(max(AMT_CREDIT), {R}) AS PREV_AMT_CREDIT_MAX, round({_sum("AMT_CREDIT")}, {R}) AS PREV_AMT_CREDIT_SUM, {_avg("AMT_CREDIT / nullif(AMT_APPLICATION, 0)")} AS PREV_CREDIT_TO_APPLICATION, {_avg("AMT_ANNUITY")} AS PREV_AMT_ANNUITY_MEAN,
+  round(max(AMT_CREDIT), {R}) AS PREV_AMT_CREDIT_MAX, round({_sum("AMT_CREDIT")}, {SUMS}) AS PREV_AMT_CREDIT_SUM, {_avg("AMT_CREDIT / nullif(AMT_APPLICATION, 0)")} AS PREV_CREDIT_TO_APPLICATION, {_avg("AMT_ANNUITY")} AS PREV_AMT_ANNUITY_MEAN,
   {_avg("RATE_DOWN_PAYMENT")} AS PREV_DOWN_PAYMENT_RATE_MEAN, {_avg("CNT_PAYMENT")} AS PREV_CNT_PAYMENT_MEAN, (max(DAYS_TERMINATION) FILTER (DAYS_TERMINATION <> 365243))::BIGINT AS PREV_DAYS_TERMINATION_MAX,
   {_rate("DAYS_TERMINATION = 365243")} AS PREV_TERMINATION_UNKNOWN_RATE FROM t_previous_application GROUP BY 1""",
     "pos_cash_balance": f"""SELECT SK_ID_CURR, count(*)::BIGINT AS POS_MONTHS, count(DISTINCT SK_ID_PREV)::BIGINT AS POS_CONTRACTS, max(SK_DPD)::BIGINT AS POS_SK_DPD_MAX, {_rate("SK_DPD > 0")} AS POS_DPD_MONTH_RATE,
@@ -115,8 +115,8 @@ SQL = {
   {_avg("CASE WHEN MONTHS_BALANCE >= -12 THEN used END")} AS CC_UTILISATION_MEAN_12M, {_avg("AMT_DRAWINGS_ATM_CURRENT")} AS CC_ATM_DRAWINGS_MEAN, {_avg("AMT_PAYMENT_CURRENT / nullif(AMT_INST_MIN_REGULARITY, 0)")} AS CC_PAYMENT_TO_MINIMUM_MEAN,
   max(SK_DPD)::BIGINT AS CC_SK_DPD_MAX, {_rate("SK_DPD > 0")} AS CC_DPD_MONTH_RATE, {_count("SK_DPD > 0 AND MONTHS_BALANCE >= -12")} AS CC_DPD_MONTHS_12M FROM (SELECT *, AMT_BALANCE / nullif(AMT_CREDIT_LIMIT_ACTUAL, 0) AS used FROM t_credit_card_balance) GROUP BY 1""",
     "installments_payments": f"""SELECT SK_ID_CURR, count(*)::BIGINT AS INS_COUNT, {_count("AMT_PAYMENT IS NULL")} AS INS_NO_PAYMENT_RECORD, {_avg("late")} AS INS_DAYS_LATE_MEAN, max(late)::BIGINT AS INS_DAYS_LATE_MAX, {_rate("late > 0")} AS INS_LATE_RATE,
-  round(avg((late > 0)::INTEGER) FILTER (DAYS_INSTALMENT >= -365), {R}) AS INS_LATE_RATE_12M, {_rate("short > 0.01")} AS INS_UNDERPAY_RATE, round({_sum("short")}, {R}) AS INS_AMT_SHORT_SUM, {_avg("AMT_PAYMENT / nullif(AMT_INSTALMENT, 0)")} AS INS_PAYMENT_RATIO_MEAN,
-  round({_sum("AMT_PAYMENT")}, {R}) AS INS_AMT_PAID_SUM FROM (SELECT *, DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT AS late, AMT_INSTALMENT - AMT_PAYMENT AS short FROM t_installments_payments) GROUP BY 1""",
+  round(avg((late > 0)::INTEGER) FILTER (DAYS_INSTALMENT >= -365), {R}) AS INS_LATE_RATE_12M, {_rate("short > 0.01")} AS INS_UNDERPAY_RATE, round({_sum("short")}, {SUMS}) AS INS_AMT_SHORT_SUM, {_avg("AMT_PAYMENT / nullif(AMT_INSTALMENT, 0)")} AS INS_PAYMENT_RATIO_MEAN,
+  round({_sum("AMT_PAYMENT")}, {SUMS}) AS INS_AMT_PAID_SUM FROM (SELECT *, DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT AS late, AMT_INSTALMENT - AMT_PAYMENT AS short FROM t_installments_payments) GROUP BY 1""",
 }
 APPLICATION_SQL = f"""SELECT SK_ID_CURR, CASE WHEN SK_ID_CURR % 5 <> 0 THEN 'train' ELSE 'test' END AS population, CASE WHEN SK_ID_CURR % 5 <> 0 THEN TARGET END AS TARGET, NAME_CONTRACT_TYPE, round(AMT_INCOME_TOTAL, {R}) AS AMT_INCOME_TOTAL, AMT_CREDIT, AMT_ANNUITY, AMT_GOODS_PRICE,
   CNT_FAM_MEMBERS, DAYS_BIRTH, nullif(DAYS_EMPLOYED, 365243) AS DAYS_EMPLOYED, (DAYS_EMPLOYED = 365243)::INTEGER AS APP_NOT_EMPLOYED_FLAG, round(-DAYS_BIRTH / 365.25::DOUBLE, {R}) AS APP_AGE_YEARS, round(nullif(DAYS_EMPLOYED, 365243) / nullif(DAYS_BIRTH, 0), {R}) AS APP_EMPLOYED_TO_AGE,
