@@ -127,7 +127,9 @@ def components(edges: DataFrame) -> DataFrame:
     Every node takes the smallest label among its own and its neighbours' until nothing changes (hash-min). The edges
     stay partitioned by the node that sends, the labels come out partitioned by node, so a step costs one shuffle;
     lineage is cut every STEPS_A_ROUND steps. Components of a wide diameter, which are not done after ROUNDS rounds,
-    are contracted to the graph of their labels, which is many times smaller, and this is solved in the same way.
+    are contracted to the graph of their labels, which is many times smaller, and this is solved in the same way. Nodes
+    with over EDGES_A_TASK edges and a thousandth of all, of which there are HEAVY_PARTS at most, send by a broadcast of
+    their labels; their edges stay dealt as they are.
     """
     ways = edges.select(F.explode(F.array(*(F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in ("ab", "ba", "aa", "bb")))).alias("e")).select("e.*")
     ways = cut(ways.distinct())
@@ -135,8 +137,15 @@ def components(edges: DataFrame) -> DataFrame:
     if not n:
         return ways.select("node", F.col("other").alias("component"))
     parts = max(1, min(partitions(edges), -(-n // EDGES_A_TASK)))  # a few links need not be dealt to many tasks
+    hubs = ways.groupBy("other").agg(F.count("*").alias("n")).where((F.col("n") > EDGES_A_TASK) & (F.col("n") * HEAVY_PARTS > F.lit(n))).select("other")
+    hubs = cut(hubs)
+    spokes = None if hubs.isEmpty() else cut(ways.join(F.broadcast(hubs), "other", "left_semi"))
+    if spokes is not None:
+        ways = ways.join(F.broadcast(hubs), "other", "left_anti")
     ways = cut(ways.repartition(parts, "other"), layout=True)
-    labels = cut(ways.groupBy(F.col("other").alias("node")).agg(F.min("node").alias("component")), layout=True)
+    labels = ways if spokes is None else ways.unionByName(spokes)
+    labels = labels.groupBy(F.col("other").alias("node")).agg(F.min("node").alias("component"))
+    labels = cut(labels if spokes is None else labels.repartition(parts, "node"), layout=True)
     before = None
     for _ in range(ROUNDS):
         now = labels.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("s")).first().s
@@ -144,7 +153,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
         before = now
         for _ in range(STEPS_A_ROUND):
-            labels = ways.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component").repartition(parts, "node").groupBy("node").agg(F.min("component").alias("component"))
+            known = labels.withColumnRenamed("node", "other")
+            sent = ways.join(known, "other").select("node", "component")
+            if spokes is not None:
+                sent = sent.unionByName(spokes.join(F.broadcast(known.join(F.broadcast(hubs), "other", "left_semi")), "other").select("node", "component"))
+            labels = sent.repartition(parts, "node").groupBy("node").agg(F.min("component").alias("component"))
         labels = cut(labels, layout=True)
     ends = edges.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a").join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
     ends = cut(ends.where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())

@@ -88,6 +88,16 @@ def test_components_of_a_long_chain(spark):
     assert {(r.node, r.component) for r in spark_util.components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
+def test_components_with_hubs(spark, monkeypatch):
+    """Nodes with a large share of the links send theirs apart from the rest; the result stays the same."""
+    monkeypatch.setattr(spark_util, "EDGES_A_TASK", 20)
+    star = [(500, i) for i in range(1000, 1200)] + [(7, 1199), (900, 901)] + [(901, i) for i in range(2000, 2050)]
+    chain = [(i, i + 1) for i in range(3000, 3010)]
+    got = {r.node: r.component for r in spark_util.components(spark.createDataFrame(star + chain, "a long, b long")).collect()}
+    want = {n: 7 for n in (7, 500, *range(1000, 1200))} | {n: 900 for n in (900, 901, *range(2000, 2050))} | {n: 3000 for n in range(3000, 3011)}
+    assert got == want
+
+
 def test_lookup_of_heavy_keys(spark):
     rows = spark.createDataFrame([(1, i) for i in range(2000)] + [(k, k) for k in range(2, 50)], "k long, v long")
     values = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("w", F.col("k") * 10)
@@ -300,6 +310,31 @@ def test_similar_lines_equal_brute_force(spark):
     assert got == brute_removed(rows)
 
 
+@pytest.mark.parametrize("slice_rows", [None, 8])
+def test_crowded_blocks_equal_brute_force(spark, monkeypatch, slice_rows):
+    """Lines that quote one passage, more than a block compares by itself, with near copies among them; and the same with
+    blocks dealt to many tasks."""
+    if slice_rows:
+        monkeypatch.setattr(line_dedup, "SLICE", slice_rows)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage, lines = [word() for _ in range(30)], []
+    for i in range(line_dedup.CROWD + 26):
+        line = passage + [word() for _ in range(20)]
+        lines.append(line)
+        if i % 6 == 0:
+            changed = list(line)
+            for at in rng.sample(range(50), 2):
+                changed[at] = word()
+            lines.append(changed)
+    rows = list(enumerate(" ".join(x) for x in lines))
+    asked = []
+    crowded = line_dedup.sim_hashes
+    monkeypatch.setattr(line_dedup, "sim_hashes", lambda forms: asked.append(1) or crowded(forms))
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_removed}
+    assert asked and got == brute_removed(rows)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(2)
