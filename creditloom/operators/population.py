@@ -82,7 +82,15 @@ def reconcile(counts: DataFrame, stated: DataFrame, fractions: Mapping[str, floa
     bad rate, and nobody is excluded."""
     c = lambda name: F.col(f"`{name}`")
     rows_tol, share_tol = F.lit(float(tolerances.rows)), F.lit(float(tolerances.share))
-    row = lambda figure, source, claimed, recounted, tol: F.struct(F.lit(figure).alias("figure"), F.lit(source).alias("source"), claimed.cast("double").alias("claimed"), recounted.cast("double").alias("recounted"), tol.cast("double").alias("tolerance"))
+    no_text = F.lit(None).cast("string")
+
+    def entry(figure: Column, source: Column, claimed: Column, recounted: Column, texts: tuple[Column, Column], ok: Column) -> Column:
+        named = {"figure": figure, "source": source, "claimed": claimed.cast("double"), "recounted": recounted.cast("double"), "claimed_text": texts[0], "recounted_text": texts[1], "ok": ok}
+        return F.struct(*(col.alias(name) for name, col in named.items()))
+
+    def row(figure: str, source: str, claimed: Column, recounted: Column, tol: Column) -> Column:
+        return entry(F.lit(figure), F.lit(source), claimed, recounted, (no_text, no_text), _close(claimed, recounted, tol))
+
     own = [row(f"published/split/{s}", "published scores", c(f"published/split/{s}"), c(f"rows/split/{s}"), rows_tol) for s in SPLITS]
     own.append(row("published/without split", "published scores", c("published/without split"), c("rows/test"), rows_tol))
     own.append(row("published/rows", "published scores", c("rows/published"), c("rows/train") + c("rows/test"), rows_tol))
@@ -91,18 +99,19 @@ def reconcile(counts: DataFrame, stated: DataFrame, fractions: Mapping[str, floa
         share = F.round(ratio(c(f"rows/split/{s}"), c("rows/splits")), 6)
         own.append(row(f"share/split/{s}", "split design", F.lit(fractions.get(s)), share, share_tol))
     for s in SPLITS if stratified else ():
-        one_row = 1 / F.greatest(c(f"rows/split/{s}"), F.lit(1.0))  # a split's rate cannot be nearer than one applicant
-        own.append(row(f"bad_rate/split/{s}", "stratified", F.round(c("bad_rate/overall"), 6), F.round(c(f"bad_rate/split/{s}"), 6), F.greatest(F.lit(float(tolerances.bad_rate)), one_row)))
+        applicant = 1 / F.greatest(c(f"rows/split/{s}"), F.lit(1.0))  # a split's rate cannot be nearer than one applicant
+        own.append(row(f"bad_rate/split/{s}", "stratified", F.round(c("bad_rate/overall"), 6), F.round(c(f"bad_rate/split/{s}"), 6), F.greatest(F.lit(float(tolerances.bad_rate)), applicant)))
     own += [row(name, "no exclusions", F.lit(0), c(name), F.lit(0)) for name in counts.columns if name.startswith("exclusion/")]
 
     numbers = [name for name in counts.columns if name != "fingerprint"]
     known = F.map_from_arrays(F.array(*(F.lit(n) for n in numbers)), F.array(*(c(n) for n in numbers)))
-    base = counts.select(F.array(*own).alias("own"), known.alias("known"), "fingerprint")
-    checked = base.select(F.explode("own").alias("r")).select("r.figure", "r.source", "r.claimed", "r.recounted", F.lit(None).cast("string").alias("claimed_text"), F.lit(None).cast("string").alias("recounted_text"), _close(F.col("r.claimed"), F.col("r.recounted"), F.col("r.tolerance")).alias("ok"))
-    print_ = F.col("figure") == "split fingerprint"
-    said = stated.crossJoin(F.broadcast(base.select("known", "fingerprint")))  # one row
-    value = F.try_element_at("known", F.col("figure"))
-    tol = F.when(F.col("figure").startswith("bad_rate/"), float(tolerances.bad_rate)).when(F.col("figure").startswith("exclusion/"), 0.0).otherwise(rows_tol)
-    ok = F.when(print_, F.coalesce(F.col("text") == F.col("fingerprint"), F.lit(False))).otherwise(_close(F.col("value"), value, tol))
-    said = said.select("figure", "source", F.col("value").alias("claimed"), value.alias("recounted"), F.when(print_, F.col("text")).alias("claimed_text"), F.when(print_, F.col("fingerprint")).alias("recounted_text"), ok.alias("ok"))
-    return checked.unionByName(said)
+
+    def said(s: Column) -> Column:
+        finger, of = s["figure"] == "split fingerprint", F.try_element_at("known", s["figure"])
+        tol = F.when(s["figure"].startswith("bad_rate/"), float(tolerances.bad_rate)).when(s["figure"].startswith("exclusion/"), 0.0).otherwise(rows_tol)
+        ok = F.when(finger, F.coalesce(s["text"] == F.col("fingerprint"), F.lit(False))).otherwise(_close(s["value"], of, tol))
+        return entry(s["figure"], s["source"], s["value"], of, (F.when(finger, s["text"]), F.when(finger, F.col("fingerprint"))), ok)
+
+    all_stated = stated.agg(F.collect_list(F.struct("figure", "source", "value", "text")).alias("stated"))
+    one_row = counts.crossJoin(F.broadcast(all_stated)).select(F.array(*own).alias("own"), known.alias("known"), "fingerprint", "stated")
+    return one_row.select(F.explode(F.concat("own", F.transform("stated", said))).alias("r")).select("r.*")
