@@ -6,7 +6,7 @@ rows, go range by range (:mod:`creditloom.operators.order_stats`)."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -51,7 +51,12 @@ def ks_location(rows: DataFrame, score: str, y: str, threshold: float | Column)
 
 def average_precision(rows: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the precision-recall steps; equal scores enter together."""
-    c = running(score_counts(rows, score, y, by), {"tp": "bad", "n": F.col("bad") + F.col("good")}, [F.desc("s")], by)
+    return average_precision_of_counts(score_counts(rows, score, y, by), by)
+
+
+def average_precision_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`average_precision` from counts (by, s, bad, good), one row a score."""
+    c = running(counts, {"tp": "bad", "n": F.col("bad") + F.col("good")}, [F.desc("s")], by)
     return c.groupBy(*by).agg(F.sum(ratio("bad", "tp_all") * ratio("tp", "n")).alias("average_precision"))
 
 
@@ -75,10 +80,20 @@ def top_share(share: float) -> Column:
 
 def list_performance(ranked: DataFrame, y: str, share: float, by: Sequence[str]) -> DataFrame:
     """Listed rows, captured share of events, precision and lift by group."""
-    listed = top_share(share)
-    hits, n, events = F.sum(F.when(listed, F.col(y)).otherwise(0)), F.count(F.when(listed, 1)), F.sum(y)
-    sums = ranked.groupBy(*by).agg(F.count("*").alias("rows"), n.alias("listed"), events.alias("events"), hits.alias("hits"))
+    return performance(performance_sums(ranked, y, [share], by), share, by)
+
+
+def performance_sums(ranked: DataFrame, y: str, shares: Iterable[float], by: Sequence[str]) -> DataFrame:
+    """(by, rows, events, and listed and hits by share): one aggregate serves every share."""
+    sums = [c for s in shares for c in (F.count(F.when(top_share(s), 1)).alias(f"listed_{s:g}".replace(".", "_")), F.sum(F.when(top_share(s), F.col(y)).otherwise(0)).alias(f"hits_{s:g}".replace(".", "_")))]
+    return ranked.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(y).alias("events"), *sums)
+
+
+def performance(sums: DataFrame, share: float, by: Sequence[str]) -> DataFrame:
+    """:func:`list_performance` of one of the shares of :func:`performance_sums`."""
+    listed, hits = (F.col(f"{name}_{share:g}".replace(".", "_")) for name in ("listed", "hits"))
     precision = ratio("hits", "listed")
+    sums = sums.select(*by, "rows", listed.alias("listed"), "events", hits.alias("hits"))
     return sums.select(*by, "rows", "listed", "events", "hits", ratio("hits", "events").alias("capture"), precision.alias("precision"), ratio(precision, ratio("events", "rows")).alias("lift"))
 
 
