@@ -68,6 +68,11 @@ def with_average_ranks(rows: DataFrame, values: Mapping[str, str]) -> DataFrame:
 def quantiles(rows: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """(by, q, value): the linear quantiles of the values that are not null, exact."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    return quantiles_of_counts(counts, value, qs, by)
+
+
+def quantiles_of_counts(counts: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """:func:`quantiles` from counts (by, _v, _n); a value may have several rows."""
     ran = running(counts, {"upto": "_n"}, ["_v"], by)
     place = lambda q: q * (F.col("upto_all") - 1)
     holds = lambda at: (at >= F.col("upto") - F.col("_n")) & (at < F.col("upto"))

@@ -1,8 +1,8 @@
-"""Stability of scores and features: every PSI against a reference sample from one grouped count of labels.
+"""Stability of scores and features: every PSI against a reference sample from one grouped count of values.
 
-Each watched column gets a label a row: the bin of the reference's quantiles, or the level. Rows are exploded to one per
-watched column (and once more for its own segment) and counted by label and sample; all that follows has the size of
-those counts. Edges are exact quantiles, found range by range; there are as many sets of them as columns and segments."""
+Rows are exploded to one per watched column and counted by value, segment and sample, once; a column that several models
+watch is counted once. All that follows reads those counts: the edges, which are exact quantiles of the reference, found
+range by range for all columns and segments together, and the labels: the bin of a value, or the level."""
 
 from __future__ import annotations
 
@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.exprs import count_if, left_closed_bin, light, ratio
-from creditloom.operators.order_stats import quantiles
+from creditloom.functions.exprs import count_if, light, ratio
+from creditloom.operators.order_stats import quantiles_of_counts
+from creditloom.session import saved
 
 ALL = "all"
 MISSING, OTHER = "missing", "other"
@@ -39,40 +40,39 @@ def is_categorical(rows: DataFrame, column: str) -> bool:
     return not isinstance(rows.schema[column].dataType, T.NumericType)
 
 
-def _bin(column: str, edges: Sequence[float]) -> Column:
-    return F.when(F.col(column).isNull(), MISSING).otherwise(left_closed_bin(column, sorted(set(edges))).cast("string"))
-
-
-def _labels(base: DataFrame, column: str, bins: int, segment: str | None) -> Column:
-    """The column's label by the reference's rows: its level, or its bin among those of the row's segment. A segment that
-    the reference lacks has none."""
-    if is_categorical(base, column):
-        return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
-    edges: dict = {}
-    for r in quantiles(base, column, [i / bins for i in range(1, bins)], [segment] if segment else []).collect():  # bins - 1 rows a segment
-        edges.setdefault(r[segment] if segment else None, []).append(r[column])
-    if segment is None:
-        return _bin(column, edges.get(None, ()))
-    return F.coalesce(*(F.when(F.col(segment) == g, _bin(column, e)) for g, e in edges.items() if g is not None), F.lit(None).cast("string"))
-
-
 def label_counts(rows: DataFrame, sample: str, reference: str, currents: Sequence[str], watched: Sequence[Watched], segment: str | None = None, bins: int = 10) -> DataFrame:
     """(kind, model, name, segment, current, label, n_reference, n_current, missing): one shuffle of partial counts.
 
     Levels that the reference lacks are pooled as other. A segment is compared where both samples have rows of it."""
     samples = [reference, *currents]
     rows = rows.where(F.col(sample).isin(*samples))
-    base = rows.where(F.col(sample) == reference)
-    if base.isEmpty():
+    if rows.where(F.col(sample) == reference).isEmpty():
         raise ValueError(f"no rows of the reference {reference}")
-    fields = lambda w, seg, label: F.struct(F.lit(w.kind).alias("kind"), F.lit(w.model).alias("model"), F.lit(w.column).alias("name"), seg.alias("segment"), label.alias("label"), F.col(w.column).isNull().alias("gap"), F.lit(is_categorical(rows, w.column)).alias("levels"))
-    each = []
-    for w in watched:
-        each.append(fields(w, F.lit(ALL), _labels(base, w.column, bins, None)))
-        if segment and w.kind == "output":
-            each.append(fields(w, F.col(segment).cast("string"), _labels(base, w.column, bins, segment)))
-    long = rows.select(F.col(sample).alias("_s"), F.explode(F.array(*each)).alias("x")).select("_s", "x.*").where("segment is not null and label is not null")
-    counts = long.groupBy(*_OF, "label", "levels").agg(*(count_if(F.col("_s") == s).alias(f"n_{i}") for i, s in enumerate(samples)), *(count_if((F.col("_s") == s) & F.col("gap")).alias(f"gap_{i}") for i, s in enumerate(samples)))
+    columns = list(dict.fromkeys(w.column for w in watched))
+    split = {w.column for w in watched if segment and w.kind == "output"}
+    no_text = F.lit(None).cast("string")
+
+    def cell(c: str) -> Column:
+        level = F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) if is_categorical(rows, c) else no_text
+        number = F.lit(None) if is_categorical(rows, c) else F.col(c)
+        return F.struct(F.lit(c).alias("name"), F.col(segment).cast("string").alias("segment") if c in split else no_text.alias("segment"), number.cast("double").alias("_v"), level.alias("level"), F.col(c).isNull().alias("gap"))
+
+    cells = rows.select(F.col(sample).alias("_s"), F.explode(F.array(*map(cell, columns))).alias("x")).select("_s", "x.*")
+    values = saved(cells.groupBy("name", "segment", "_v", "level", "gap").agg(*(count_if(F.col("_s") == s).alias(f"n_{i}") for i, s in enumerate(samples))))
+    # a segment's counts serve the segment and the whole
+    both = F.when(F.col("name").isin(list(split)) & F.col("segment").isNotNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    values = values.withColumn("own", F.explode(both)).withColumn("segment", F.when(F.col("own"), F.col("segment")).otherwise(ALL))
+    of = ["name", "own", "segment"]
+    numbers = values.where("level is null and _v is not null and n_0 > 0").select(*of, "_v", F.col("n_0").alias("_n"))
+    edges = quantiles_of_counts(numbers, "edge", [i / bins for i in range(1, bins)], of).groupBy(*of).agg(F.collect_set("edge").alias("edges"))  # bins - 1 numbers a column and segment
+    placed = values.where("level is null").join(F.broadcast(edges), of, "left").where(~F.col("own") | F.col("edges").isNotNull())  # a segment that the reference lacks has no bins
+    bin_of = F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e <= F.col("_v"))).cast("string")
+    labels = placed.withColumn("label", F.when(F.col("_v").isNull(), MISSING).otherwise(bin_of)).drop("edges").unionByName(values.where("level is not null").withColumn("label", F.col("level")))
+    sums = [F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(samples))] + [F.coalesce(F.sum(F.when(F.col("gap"), F.col(f"n_{i}"))), F.lit(0)).alias(f"gap_{i}") for i in range(len(samples))]
+    found = labels.groupBy(*of, "label", F.col("level").isNotNull().alias("levels")).agg(*sums)
+    each = F.array(*(F.struct(F.lit(w.kind).alias("kind"), F.lit(w.model).alias("model"), F.lit(w.column).alias("column")) for w in watched))
+    mine = F.filter(each, lambda w: (w["column"] == F.col("name")) & (~F.col("own") | (w["kind"] == "output")))
+    counts = found.withColumn("w", F.explode(mine)).select("w.kind", "w.model", "name", "segment", "label", "levels", *(f"{n}_{i}" for n in ("n", "gap") for i in range(len(samples))))
     counts = counts.withColumn("label", F.when(F.col("levels") & (F.col("n_0") == 0), OTHER).otherwise(F.col("label")))
     pairs = F.array(*(F.struct(F.lit(s).alias("current"), F.col(f"n_{i}").alias("n_current"), F.col(f"gap_{i}").alias("gap_current")) for i, s in enumerate(samples) if i))
     wide = counts.select(*_OF, "label", F.col("n_0").alias("n_reference"), F.col("gap_0").alias("gap_reference"), F.explode(pairs).alias("c")).select(*_OF, "c.current", "label", "n_reference", "gap_reference", "c.n_current", "c.gap_current")

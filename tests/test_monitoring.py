@@ -89,3 +89,19 @@ def test_checks_of_stability(spark):
     got = {r.check: r.ok for r in stability.stability_checks(table, "far", 0.1, published).collect()}
     assert got == {"stable: m x near": True, "published: m all": True, "published: m u": False, "published: m w": False}
     assert not any(r.ok for r in stability.stability_checks(table, "near", 0.1).where("check like '%far'").collect())
+
+
+def test_rows_are_read_once_for_all_columns_and_segments(spark):
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        count.add(1)
+        return ("old" if i % 2 else "near", "g" if i % 3 else "h", float(i % 37), float(i % 11))
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(range(2000), 1).map(seen), "s string, g string, x double, z double")
+    watched = [Watched("output", "m", "x"), Watched("output", "n", "x"), Watched("feature", "m", "z")]
+    found = stability.stability(stability.label_counts(rows, "s", "old", ["near"], watched, "g")).collect()
+    assert len(found) == 7 and 2000 <= count.value < 4000  # and a few rows to see that the reference has some
+    by = {(r.model, r.name, r.segment): (r.n_reference, r.n_current) for r in found}
+    assert by["m", "x", "all"] == by["n", "x", "all"] == by["m", "z", "all"] == (1000, 1000)
+    assert by["m", "x", "g"] == (sum(i % 2 == 1 and i % 3 > 0 for i in range(2000)), sum(i % 2 == 0 and i % 3 > 0 for i in range(2000)))
