@@ -1,6 +1,7 @@
 """Reconciliation of a development population: what is stated about it against one recount of its tables.
 
-All tables meet once, in one grouping by id that is summed up before the shuffle; sizes, rates by split, duplicates and
+All tables meet once, in one grouping by id; an id has about one row in each table, so rows go to the task of their id as
+they are and no task of a table's scan holds counts of all ids it reads; sizes, rates by split, duplicates and
 every kind of missing row follow from the counts an id has in each table, so no pair of tables is joined. What leaves
 the grouping is one row."""
 
@@ -47,7 +48,8 @@ def recount(train: DataFrame, test: DataFrame, features: DataFrame, splits: Data
     sums = [count_if(part == name).alias(f"n_{name}") for name in tables]
     sums += [count_if((part == p) & (of == s)).alias(f"{p}_{s}") for p in ("splits", "published") for s in SPLITS]
     sums += [count_if((part == p) & of.isNull()).alias(f"{p}_none") for p in ("splits", "published")]
-    by_id = reduce(DataFrame.unionByName, rows).groupBy("id").agg(*sums, F.count("y").alias("known"), F.sum("y").alias("bads"))
+    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_id = reduce(DataFrame.unionByName, rows).repartition(parts, "id").groupBy("id").agg(*sums, F.count("y").alias("known"), F.sum("y").alias("bads"))
 
     c = F.col
     total = lambda col: F.coalesce(F.sum(col), F.lit(0))

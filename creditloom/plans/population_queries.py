@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from creditloom.operators import population, sampling
 from creditloom.plans.frames import SCORED, read, scored
 from creditloom.plans.registry import query
+from creditloom.session import saved
 
 FRACTIONS = {"train": 0.6, "validation": 0.2, "test": 0.2}
 
@@ -49,7 +50,7 @@ def population_reconciliation(spark, d):
     settled = F.col("status") != "P"
     train = o.where(settled).select("id", (F.col("status") == "F").cast("int").alias("y"))
     features = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("id")).distinct()
-    rows = scored(spark, d).join(o, "id").select("id", F.when(settled, F.col("split")).alias("split"), F.when(settled, F.col("y")).alias("y"))
+    rows = saved(scored(spark, d).join(o, "id").select("id", F.when(settled, F.col("split")).alias("split"), F.when(settled, F.col("y")).alias("y")))  # read by six counts
     splits = rows.where("split is not null").select("id", "split")
     counts = population.recount(train, o.where(~settled), features, splits, rows, "id", "y", "split")
     text, number = F.lit(None).cast("string").alias("text"), F.lit(None).cast("double").alias("value")

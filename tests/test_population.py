@@ -1,6 +1,7 @@
 """The reconciliation of a population, on tables with every kind of fault."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from creditloom.operators import population, sampling
 
@@ -66,3 +67,12 @@ def test_empty_tables_and_bad_tolerances(spark):
     assert {r.figure.split("/")[0] for r in got if not r.ok} == {"share", "bad_rate"}
     with pytest.raises(ValueError, match="negative"):
         population.Tolerances(share=-1.0)
+
+
+def test_rows_go_to_their_id_before_they_are_counted(spark):
+    """A task of a table's scan must not hold the counts of all ids it reads: no wide partial counts ahead of the shuffle."""
+    ids = spark.range(100).select(F.col("id"), (F.col("id") % 2).alias("y"), F.lit("train").alias("split"))
+    plan = population.recount(ids, ids, ids.select("id"), ids, ids, "id", "y", "split")._jdf.queryExecution().executedPlan().toString()
+    wide = [at for at, line in enumerate(plan.splitlines()) if "HashAggregate(keys=[id#" in line]
+    dealt = [at for at, line in enumerate(plan.splitlines()) if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 1 and wide and max(wide) < dealt[0]  # lines further down are earlier steps
