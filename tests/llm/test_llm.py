@@ -83,6 +83,50 @@ def test_near_duplicates_equal_their_sql(spark, data):
     assert sorted(map(tuple, near_dup.op2_minhash_dedup(spark, data).select("doc_id", "n_shingles", "component_id", "kept").collect())) == want
 
 
+def test_near_duplicates_of_a_crowd_equal_brute_force(spark, monkeypatch):
+    """Many variants of one text, most of whose pairs come near the similarity without reaching it; the pairs compared do not become rows."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    texts = []
+    for i in range(300):  # over four windows
+        w = list(base)
+        for at in rng.sample(range(100), rng.randint(0, 12)):
+            w[at] = f"x{i}-{at}"
+        texts.append((i, " ".join(w)))
+    returned = []
+    one_walk = near_dup.walked
+
+    def counted(*args):
+        out = one_walk(*args)
+        returned.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "walked", counted)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component_id) for r in near_dup.minhash_components(docs, shingle=3, num=85).collect()}
+    assert got == brute_components(texts, 3, 85, 100)
+    assert len(set(c for _, c in got.values())) > 20
+    assert len(returned) > 2 and max(returned) <= 3 * len(texts) * 2
+
+
+def test_borders_end_where_partitions_are_more_than_asked_for(spark, monkeypatch):
+    asked = []
+    plain = type(spark.range(1)).repartitionByRange
+
+    def many(df, parts, *by):
+        asked.append(parts)
+        assert len(asked) < 20
+        return plain(df, 8, *(by if isinstance(parts, int) else (parts, *by)))
+
+    monkeypatch.setattr(near_dup, "BORDER_ROWS", 300)
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", many)
+    rng = random.Random(3)
+    texts = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(60))) for i in range(400)] + [(400, "a b c d e f"), (401, "a b c d e f")]
+    rows = spark.createDataFrame(texts, "id long, text string")
+    signed = near_dup.cut(near_dup.arrow_map(rows, near_dup.signer(3), near_dup.SIGNED)).withColumn("component", F.col("id"))
+    assert (400, 401) in set(map(tuple, near_dup.walked(signed, 1, (0, 3), near_dup.best_pairs(64, 2, 85, 100)).collect()))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.component) for r in spark_util.components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
