@@ -127,6 +127,31 @@ def test_borders_end_where_partitions_are_more_than_asked_for(spark, monkeypatch
     assert (400, 401) in set(map(tuple, near_dup.walked(signed, 1, (0, 3), near_dup.best_pairs(64, 2, 85, 100)).collect()))
 
 
+def test_what_the_driver_gets_does_not_grow(spark, monkeypatch):
+    """The keys that narrow a table are broadcast in a bounded number of rows, and ranges are cut by a bounded sample."""
+    sent = []
+    plain = F.broadcast
+    monkeypatch.setattr(spark_util.F, "broadcast", lambda df: plain(sent.append(df) or df))
+    rows = spark.range(400_000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    wanted = rows.where("k % 2 = 0").select("k")
+    got = spark_util.narrowed(rows, "k", wanted)
+    assert got.columns == ["k", "v"]
+    assert got.where("k % 2 = 0").count() == 200_000 and got.distinct().count() == got.count() < 300_000
+    assert sent[0].count() <= spark_util.BUCKETS // 64 <= 1 << 14
+
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    asked = []
+    one_cut = near_dup.cut
+    monkeypatch.setattr(near_dup, "cut", lambda df: asked.append(int(spark.conf.get(name, "100"))) or one_cut(df))
+    texts = spark.createDataFrame([(i, f"a b c d{i % 3}") for i in range(9)], "id long, text string")
+    signed = near_dup.arrow_map(texts, near_dup.signer(3), near_dup.SIGNED).withColumn("component", F.col("id")).cache()
+    before = spark.conf.get(name, None), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3000")
+    near_dup.walked(signed, 1, (0, 1), near_dup.best_pairs(4, 2, 85, 100))
+    spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert asked[0] * 3000 <= spark_util.SAMPLED_KEYS and spark.conf.get(name, None) == before[0]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.component) for r in spark_util.components(edges).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
