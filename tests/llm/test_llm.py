@@ -404,6 +404,28 @@ def test_crowded_blocks_equal_brute_force(spark, monkeypatch, slice_rows):
     assert asked and got == brute_removed(rows)
 
 
+@pytest.mark.parametrize("carried", [64, 0])
+def test_crowded_blocks_lose_no_link(spark, monkeypatch, carried):
+    """Lines at the very limit of edits whose only common runs are those of a passage that a crowd quotes, and which are less
+    than half of their runs; in other lengths too, where words are left out or put in."""
+    monkeypatch.setattr(line_dedup, "CARRIED_BAGS", carried)
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(25)]
+    lines = [passage + [word() for _ in range(25)] for _ in range(line_dedup.CROWD + 40)]
+    for i in range(24):
+        line = passage + [word() for _ in range(25)]
+        changed = list(line)
+        for at in (45, 40, 35, 30, 25):  # every run with a word of the line's own
+            how = i % 4
+            changed[at : at + (how != 1)] = [] if how == 2 and at > 30 else [word()]
+        lines += [line, changed]
+    rows = list(enumerate(" ".join(x) for x in lines))
+    want = brute_removed(rows)
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_removed}
+    assert len(want) >= 18 and got == want
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(2)
