@@ -516,6 +516,61 @@ def test_bit_chances_add_up():
     assert 0 < total <= 1 + 1e-9
 
 
+def training_words(spark, counts):
+    return spark.createDataFrame([(i, w.encode(), c) for i, (w, c) in enumerate(counts.items())], "h long, word binary, c long").coalesce(1)
+
+
+def test_mixer_learns_from_occurrences(spark, monkeypatch):
+    """Where tables and code are the same, how often words occur changes what is learnt."""
+    code = lm_score.huffman(np.arange(1, 257))
+    monkeypatch.setattr(lm_score, "TYPE_POWER", 0.0)
+    monkeypatch.setattr(lm_score, "byte_code", lambda words: code)
+    rng = random.Random(21)
+    plain = {"".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))): 1 for _ in range(80)}
+    often = {w: 1 if i % 2 else 40 for i, w in enumerate(plain)}
+    one, other = (lm_score.fit(training_words(spark, c), len(c)) for c in (plain, often))
+    assert all((a == b).all() for a, b in zip(one.logit, other.logit, strict=True))
+    assert abs(one.weights - other.weights).max() > 1e-3
+
+
+def test_mixer_learns_like_a_plain_model(spark, monkeypatch):
+    """One word's bit after the other, each occurrence by the spelling model's part of its chance."""
+    monkeypatch.setattr(lm_score, "LANES", 1)
+    rng = random.Random(22)
+    counts = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 4))): rng.choice([1, 2, 2, 3]) for _ in range(25)}
+    words, kinds, total = training_words(spark, counts), 2000, sum(counts.values())  # so many kinds that words are spelled often
+    code = lm_score.byte_code(words)
+    tables = lm_score.count_bits(words, code, 0)
+    got = lm_score.learn_weights(words, code, 0, tables, kinds, total)
+    weights, seen = np.full((36, 5), 0.3), np.zeros(36)
+    weights[:, -1] = 0
+    fresh, bits_of, turns = lm_score.DISCOUNT * kinds / total, [], []
+    for i, (w, c) in enumerate(counts.items()):
+        bit, slots, _ = lm_score.bit_stream(code, 0, np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]))
+        rows, spell = [], 1.0
+        for k, b in enumerate(bit):
+            own = [[max(float(t[side][s[k]]) - c**lm_score.TYPE_POWER * (b == side), 0) for side in (0, 1)] for t, s in zip(tables, slots, strict=True)]
+            x = np.array([*(np.float32(math.log((n1 + lm_score.PRIOR) / (n0 + lm_score.PRIOR))) for n0, n1 in own), 1])
+            gate = sum(sum(sum(own[f]) > bound for bound in lm_score._SEEN) * by for f, by in ((2, 6), (3, 1)))
+            spell /= 1 + math.exp((1 - 2 * b) * (weights[gate] @ x))
+            rows.append((x, gate, b))
+        bits_of.append(rows)
+        rest = max(c - 1 - lm_score.DISCOUNT, 0) / (total - 1)
+        due = c * fresh * spell / (rest + fresh * spell)
+        n = max(1, math.ceil(due))
+        turns += [((j + i * 0.6180339887 % 1) / n, i, due / n) for j in range(n)]
+    assert len(turns) > len(counts)
+    turns.sort(key=lambda t: t[:1])
+    for _, i, part in turns:
+        for _, gate, _ in bits_of[i]:
+            seen[gate] += part
+    for _, i, part in turns:
+        for x, gate, b in bits_of[i]:
+            error = b - 1 / (1 + math.exp(-(weights[gate] @ x)))
+            weights[gate] += lm_score.RATE / math.sqrt(1 + seen[gate] / 1e4) * part * error * x
+    assert np.allclose(got, weights, atol=1e-4)
+
+
 def test_lm_scores_equal_a_plain_model(spark, monkeypatch):
     """Against counts, bits and mixing written out word by word and bit by bit."""
     rng = random.Random(8)
